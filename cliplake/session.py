@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +52,36 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_written: list[tuple[SparkSession, str]] = []
+
+
+def write_out(df: DataFrame) -> DataFrame:
+    """``df`` as a table written in the checkpoint folder and read back: fresh statistics, no row order.
+
+    The files stay until :func:`release` or the end of the process, for whatever still reads them.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/cliplake-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _written.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release() -> None:
+    """Remove the tables that :func:`write_out` has left."""
+    while _written:
+        spark, path = _written.pop()
+        try:
+            context = spark.sparkContext
+            target = context._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # noqa: BLE001 - the session may be gone already
+            continue
+
+
+atexit.register(release)
+
+
 def table_partitions(spark: SparkSession) -> int:
     """The partition count that the session is tuned for."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
