@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cliplake.llm.splits import split_related, video_groups
 from cliplake.llm.turns import speaker_turns
 from cliplake.session import read_table
 
@@ -18,6 +19,27 @@ def p2_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speaker_turns(read_table(spark, sf_dir, "subtitle_cues"), read_table(spark, sf_dir, "speaker_roster"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_turns": p2_turns}
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = video_groups(read_table(spark, sf_dir, "clip_descriptions_copy"), read_table(spark, sf_dir, "video_sources"))
+    first = groups.groupBy("component").agg(F.min("video_id").alias("video_a"))
+    return (
+        groups.join(first, "component")
+        .where("video_id <> video_a")
+        .select("video_a", F.col("video_id").alias("video_b"))
+        .distinct()
+    )
+
+
+def p1_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = split_related(read_table(spark, sf_dir, "clip_descriptions_copy"), read_table(spark, sf_dir, "video_sources"))
+    return rows.select("row_id", "video_id", "clip_number", "component", "split")
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p1_split": p1_split,
+    "p2_found": p2_found,
+    "p2_turns": p2_turns,
+}
 
 SQL: dict[str, str] = {}
