@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cliplake.llm.neardup import NearDuplicates
 from cliplake.llm.splits import split_related, video_groups
 from cliplake.llm.turns import speaker_turns
 from cliplake.session import read_table
@@ -35,11 +36,32 @@ def p1_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row_id", "video_id", "clip_number", "component", "split")
 
 
+def _described(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
+    """(src, rec, text, source_file) of the clip descriptions and of one side of the clip pairs."""
+    clips = read_table(spark, sf_dir, "clip_descriptions_copy").select(
+        F.lit("clip").alias("src"), F.col("row_id").alias("rec"), F.col("description").alias("text"), "source_file"
+    )
+    pairs = read_table(spark, sf_dir, "clip_pairs_all").select(
+        F.lit("pair").alias("src"), F.col("pair_id").alias("rec"), F.col(f"{side}.description").alias("text"), "source_file"
+    )
+    return clips.union(pairs)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return NearDuplicates(_described(spark, sf_dir, "current_clip")).pairs()
+
+
+def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return NearDuplicates(_described(spark, sf_dir, "current_clip")).groups()
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_split": p1_split,
     "p2_found": p2_found,
     "p2_turns": p2_turns,
+    "p3_found": p3_found,
+    "p3_groups": p3_groups,
 }
 
 SQL: dict[str, str] = {}
