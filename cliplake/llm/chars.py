@@ -38,13 +38,16 @@ def window_hashes(flat: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np
     return mix(rolled[start]), owner
 
 
-def distinct_counts(hashes: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
-    """Number of distinct hashes of each text."""
+def distinct_counts(hashes: np.ndarray, owner: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per text: the number of distinct hashes, and how often its most frequent one occurs."""
     if not len(hashes):
-        return np.zeros(texts, np.int64)
+        return np.zeros(texts, np.int64), np.zeros(texts, np.int64)
     bits = np.uint64(max(1, int(texts - 1).bit_length()))
     # the owner in front, the rest of the hash behind it: one plain sort, 64 - bits bits of hash left
     key = np.sort((owner.astype(np.uint64) << (np.uint64(64) - bits)) | (hashes >> bits))
-    first = np.ones(len(key), bool)
-    first[1:] = key[1:] != key[:-1]
-    return np.bincount((key[first] >> (np.uint64(64) - bits)).astype(np.int64), minlength=texts)
+    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    of = (key[start] >> (np.uint64(64) - bits)).astype(np.int64)
+    runs = np.diff(np.append(start, len(key)))
+    most = np.zeros(texts, np.int64)
+    np.maximum.at(most, of, runs)
+    return np.bincount(of, minlength=texts), most

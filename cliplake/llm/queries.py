@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cliplake.llm.neardup import NearDuplicates
+from cliplake.llm.repetition import repetition
 from cliplake.llm.splits import split_related, video_groups
+from cliplake.llm.truncation import truncated
 from cliplake.llm.turns import speaker_turns
 from cliplake.session import read_table
 
@@ -55,6 +57,34 @@ def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return NearDuplicates(_described(spark, sf_dir, "current_clip")).groups()
 
 
+def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition(read_table(spark, sf_dir, "clip_descriptions_copy"), "row_id", "description")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    likely = _repeats(spark, sf_dir).where("posterior >= 0.5")
+    return likely.where("n_chars >= 40 and repeat_share >= 0.25").select(F.col("rec").alias("row_id")).distinct()
+
+
+def p4_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _repeats(spark, sf_dir)
+    return found.select(F.col("rec").alias("row_id"), "n_chars", "repeat_share", "sentence_share", "posterior")
+
+
+def _cut_off(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncated(_described(spark, sf_dir, "previous_clip"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cut_off(spark, sf_dir).where("probability >= 0.5").select("src", F.col("rec").alias("rec_id")).distinct()
+
+
+def p6_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.count_if(F.col("probability") >= 0.5)
+    rates = _cut_off(spark, sf_dir).groupBy("src", "source_file").agg(F.count("*").alias("n_records"), found.alias("n_truncated"))
+    return rates.withColumn("rate", F.col("n_truncated") / F.col("n_records"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_split": p1_split,
@@ -62,6 +92,10 @@ QUERIES = {
     "p2_turns": p2_turns,
     "p3_found": p3_found,
     "p3_groups": p3_groups,
+    "p4_found": p4_found,
+    "p4_repetition": p4_repetition,
+    "p6_found": p6_found,
+    "p6_rates": p6_rates,
 }
 
 SQL: dict[str, str] = {}
