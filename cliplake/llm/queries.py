@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cliplake.llm.neardup import NearDuplicates
+from cliplake.llm.qadefects import qa_defects
 from cliplake.llm.repetition import repetition
 from cliplake.llm.splits import split_related, video_groups
 from cliplake.llm.truncation import truncated
@@ -71,6 +72,18 @@ def p4_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("rec").alias("row_id"), "n_chars", "repeat_share", "sentence_share", "posterior")
 
 
+def _defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qa_defects(read_table(spark, sf_dir, "clip_qa_pairs"), "qa_id", "question", "answer")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _defects(spark, sf_dir).where("defect is not null").select(F.col("rec").alias("qa_id"), "defect").distinct()
+
+
+def p5_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _defects(spark, sf_dir).groupBy("defect").agg(F.count("*").alias("n_pairs"))
+
+
 def _cut_off(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncated(_described(spark, sf_dir, "previous_clip"))
 
@@ -94,6 +107,8 @@ QUERIES = {
     "p3_groups": p3_groups,
     "p4_found": p4_found,
     "p4_repetition": p4_repetition,
+    "p5_found": p5_found,
+    "p5_counts": p5_counts,
     "p6_found": p6_found,
     "p6_rates": p6_rates,
 }
