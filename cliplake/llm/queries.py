@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cliplake.llm.leakage import leaked_passages
 from cliplake.llm.neardup import NearDuplicates
 from cliplake.llm.qadefects import qa_defects
 from cliplake.llm.repetition import repetition
@@ -98,6 +99,22 @@ def p6_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.withColumn("rate", F.col("n_truncated") / F.col("n_records"))
 
 
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = read_table(spark, sf_dir, "eval_passages")
+    return leaked_passages(read_table(spark, sf_dir, "documents"), "doc_id", "text", items, "item_id", "text")
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test item with the number of documents that hold it."""
+    found = _leaks(spark, sf_dir).groupBy("item_id").agg(F.count("*").alias("n_documents"), F.max("contained").alias("most_contained"))
+    items = read_table(spark, sf_dir, "eval_passages").select("item_id", "suite")
+    return items.join(found, "item_id", "left").select("item_id", "suite", F.coalesce("n_documents", F.lit(0)).alias("n_documents"), "most_contained")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_split": p1_split,
@@ -111,6 +128,8 @@ QUERIES = {
     "p5_counts": p5_counts,
     "p6_found": p6_found,
     "p6_rates": p6_rates,
+    "p9_found": p9_found,
+    "p9_items": p9_items,
 }
 
 SQL: dict[str, str] = {}
