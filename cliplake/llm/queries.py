@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cliplake.llm.language import CODES, document_languages, language_segments
 from cliplake.llm.leakage import leaked_passages
 from cliplake.llm.neardup import NearDuplicates
 from cliplake.llm.qadefects import qa_defects
@@ -115,6 +116,23 @@ def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.join(found, "item_id", "left").select("item_id", "suite", F.coalesce("n_documents", F.lit(0)).alias("n_documents"), "most_contained")
 
 
+def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_segments(read_table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = document_languages(_segments(spark, sf_dir))
+    tag = F.split(F.lower(F.trim("label")), "[-_]")[0]
+    for long, short in CODES.items():
+        tag = F.when(tag == long, short).otherwise(tag)
+    right = (F.col("n_languages") == 1) & (F.coalesce(tag, F.lit("")) == F.col("lang"))
+    return found.where(~right).select("doc_id", F.col("lang").alias("lang_found")).distinct()
+
+
+def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _segments(spark, sf_dir).select("doc_id", "segment", "start", "stop", "lang", "confidence")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_split": p1_split,
@@ -129,6 +147,8 @@ QUERIES = {
     "p6_found": p6_found,
     "p6_rates": p6_rates,
     "p9_found": p9_found,
+    "p10_found": p10_found,
+    "p10_segments": p10_segments,
     "p9_items": p9_items,
 }
 
