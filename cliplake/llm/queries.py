@@ -123,8 +123,8 @@ def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = document_languages(_segments(spark, sf_dir))
     tag = F.split(F.lower(F.trim("label")), "[-_]")[0]
-    for long, short in CODES.items():
-        tag = F.when(tag == long, short).otherwise(tag)
+    codes = F.create_map(*(F.lit(x) for pair in CODES.items() for x in pair))
+    tag = F.coalesce(codes[tag], tag)
     right = (F.col("n_languages") == 1) & (F.coalesce(tag, F.lit("")) == F.col("lang"))
     return found.where(~right).select("doc_id", F.col("lang").alias("lang_found")).distinct()
 
