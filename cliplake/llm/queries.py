@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cliplake.llm.language import CODES, document_languages, language_segments
 from cliplake.llm.leakage import leaked_passages
 from cliplake.llm.neardup import NearDuplicates
+from cliplake.llm.packing import CAPACITY, pack_documents
 from cliplake.llm.qadefects import qa_defects
 from cliplake.llm.repetition import repetition
 from cliplake.llm.splits import split_related, video_groups
@@ -100,6 +101,18 @@ def p6_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.withColumn("rate", F.col("n_truncated") / F.col("n_records"))
 
 
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers are, in one row."""
+    used = p8_containers(spark, sf_dir).groupBy("container_id").agg(F.sum("n_tokens").alias("used"))
+    return used.agg(
+        F.count("*").alias("n_containers"), F.sum("used").alias("n_tokens"), (F.sum("used") / (F.count("*") * CAPACITY)).alias("fill"), F.max("used").alias("most")
+    )
+
+
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = read_table(spark, sf_dir, "eval_passages")
     return leaked_passages(read_table(spark, sf_dir, "documents"), "doc_id", "text", items, "item_id", "text")
@@ -146,6 +159,8 @@ QUERIES = {
     "p5_counts": p5_counts,
     "p6_found": p6_found,
     "p6_rates": p6_rates,
+    "p8_containers": p8_containers,
+    "p8_fill": p8_fill,
     "p9_found": p9_found,
     "p10_found": p10_found,
     "p10_segments": p10_segments,
