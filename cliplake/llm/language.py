@@ -24,7 +24,7 @@ LANGUAGES = ("zh", "en", "ja", "ko", "ru", "es", "pt", "de", "fr")
 DIMENSIONS = 4096
 #: Bounds of the training sample and of the trigram table.
 SAMPLE_ROWS = 4_000
-SAMPLE_CHARS = 3_000_000
+SAMPLE_CHARS = 20_000  # longer documents are not picked for the sample
 MAX_TRIGRAMS = 60_000
 SLOT_BITS = 20
 SHRINK = 100_000
@@ -282,9 +282,8 @@ def language_segments(documents: DataFrame, doc: str, text: str, label: str, sam
     total = rows.count()
     share = min(1.0, 2 * sample_rows / max(total, 1))
     picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    # a document adds at most as many characters as keep the sample within its bound
-    part = F.substring("text", 1, SAMPLE_CHARS // sample_rows).alias("text")
-    sample = sorted((r.doc_id if r.doc_id is not None else -1, r.text, r.label or "") for r in picked.select("doc_id", part, "label").limit(sample_rows).collect())
+    picked = picked.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text", "label").limit(sample_rows)
+    sample = sorted((r.doc_id if r.doc_id is not None else -1, r.text, r.label or "") for r in picked.collect())
     shared = documents.sparkSession.sparkContext.broadcast(train([t for _, t, _ in sample], [x for *_, x in sample]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
