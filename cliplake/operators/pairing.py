@@ -35,13 +35,15 @@ def clip_files(paths: DataFrame, path: str = "clip_path") -> DataFrame:
     return named.select("x.video_id", "x.clip_number", "file").where("clip_number > 0").groupBy(*KEY).agg(F.min("file").alias("file"))
 
 
-def pair_with_previous(described: DataFrame, files: DataFrame, include_missing: bool = False) -> DataFrame:
+def pair_with_previous(described: DataFrame, files: DataFrame, include_missing: bool = False, trim_ids: bool = False) -> DataFrame:
     """(previous_clip, current_clip, has_previous, previous_has_description) of every clip after the first.
 
     The predecessor is the clip numbered exactly one less. Its file must exist: with a description it is the
     described row, else a stub from the file's name. Without a file the pair is dropped, or kept with a null
-    predecessor and a null last column if ``include_missing``.
+    predecessor and a null last column if ``include_missing``. ``trim_ids`` matches files by video ids without
+    trailing underscores, as parsed file names lack the one that ids may end with.
     """
+    listed = lambda c: F.rtrim(c, F.lit("_")) if trim_ids else c
     current = described.where("clip_number > 1").select(
         F.col("video_id").alias("video_id"), (F.col("clip_number") - 1).alias("clip_number"), F.struct(*CLIP).alias("current_clip")
     )
@@ -51,7 +53,9 @@ def pair_with_previous(described: DataFrame, files: DataFrame, include_missing:
         F.col("file").alias("clip_path"), F.substring_index("file", "/", -1).alias("clip_filename"), "video_id", "clip_number",
         name["start_time"].alias("start_time"), name["end_time"].alias("end_time"), name["duration"].alias("duration"), F.lit(None).cast("string").alias("description"),
     )
-    joined = current.join(files, KEY, "left" if include_missing else "inner").join(known, KEY, "left")
+    found = files.select(listed(F.col("video_id")).alias("_v"), F.col("clip_number").alias("_n"), "file")
+    on = (listed(F.col("video_id")) == F.col("_v")) & (F.col("clip_number") == F.col("_n"))
+    joined = current.join(found, on, "left" if include_missing else "inner").join(known, KEY, "left")
     previous = F.when(F.col("file").isNull(), None).otherwise(F.coalesce("known", stub))
     said = F.when(F.col("file").isNotNull(), F.coalesce(F.col("known.description"), F.lit("")) != "")
     return joined.select(previous.alias("previous_clip"), "current_clip", F.col("file").isNotNull().alias("has_previous"), said.alias("previous_has_description"))
