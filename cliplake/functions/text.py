@@ -45,7 +45,11 @@ def previous_text(c: Column | str, most: int = 500) -> Column:
 def words(c: Column | str) -> Column:
     """Split at single spaces, keeping empties, without consecutive repeats."""
     parts = F.split(_col(c), " ")
-    return F.filter(parts, lambda w, i: (i == 0) | (w != F.try_element_at(parts, F.greatest(i, F.lit(1)).cast("int"))))
+    shifted = F.concat(F.array(F.lit(None).cast("string")), parts)
+    # zipped with their predecessors once, so that the text is not split again for every word
+    both = F.zip_with(parts, shifted, lambda w, p: F.struct(w.alias("w"), p.alias("p")))
+    fresh = F.filter(both, lambda x: x["w"].isNotNull() & (x["p"].isNull() | (x["w"] != x["p"])))
+    return F.transform(fresh, lambda x: x["w"])
 
 
 def seeded_choice(options: list[str], key: Column, seed: int) -> Column:

@@ -137,15 +137,30 @@ def greedy_segments(df: DataFrame, key: str, time: str, ident: str, longest: int
     """
     kind = dict(df.dtypes)[key]
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t", "id"], kind="stable")
-        t, ids, last = pdf["t"].tolist(), pdf["id"].tolist(), bool(pdf["is_last"].any())
-        cut = greedy_cuts(t, longest, gap, least, last_open=last)
-        return pd.DataFrame(
-            [(pdf["key"].iat[0], ids[i], ids[j - 1], t[i], t[j - 1], j - i) for i, j in cut], columns=["key", "first_id", "last_id", "start_t", "end_t", "n_rows"]
-        )
-
-    out = sessions(df, key, time, ident, gap).groupBy("key", "session").applyInPandas(fold, f"key {kind}, first_id long, last_id long, start_t long, end_t long, n_rows long")
+    columns = ["key", "first_id", "last_id", "start_t", "end_t", "n_rows"]
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, t, ids, last = None, [], [], False
+
+        def close() -> list[tuple]:
+            return [(at[0], ids[i], ids[j - 1], t[i], t[j - 1], j - i) for i, j in greedy_cuts(t, longest, gap, least, last_open=last)]
+
+        for pdf in batches:
+            out = []
+            for k, session, x, ident, end in zip(pdf["key"], pdf["session"], pdf["t"], pdf["id"], pdf["is_last"], strict=True):
+                if (k, session) != at:
+                    out += close() if at is not None else []
+                    at, t, ids, last = (k, session), [], [], False
+                t.append(x)
+                ids.append(ident)
+                last = last or end
+            if out:
+                yield pd.DataFrame(out, columns=columns)
+        if at is not None and (out := close()):
+            yield pd.DataFrame(out, columns=columns)
+
+    rows = sessions(df, key, time, ident, gap).repartition("key", "session").sortWithinPartitions("key", "session", "t", "id")
+    out = rows.mapInPandas(fold, f"key {kind}, first_id long, last_id long, start_t long, end_t long, n_rows long")
     return out.withColumnRenamed("key", key)
 
 
