@@ -184,12 +184,13 @@ class NearDuplicates:
 
         ``n_links`` counts the records, copies included, that the record is linked to.
         """
-        copies = self.texts.select("srch", "rep", "copies")
+        members = self._members().select("src", "srch", "rep", "rec").distinct()
+        copies = members.groupBy("srch", "rep").agg(F.count("*").alias("copies"))
         both = self.links.union(self.links.select("srch", F.col("b").alias("a"), F.col("a").alias("b")))
         partner = both.join(copies.toDF("srch", "b", "n"), ["srch", "b"]).groupBy("srch", F.col("a").alias("rep")).agg(F.sum("n").alias("beside"))
         name = lambda c: F.concat(F.col("srch").cast("string"), F.lit(":"), F.lpad(F.col(c).cast("string"), 20, "0"))
         found = components(self.links.select(name("a").alias("a"), name("b").alias("b")))
-        rows = self._members().withColumn("node", name("rep")).join(partner, ["srch", "rep"], "left").join(found, "node", "left")
+        rows = members.join(copies, ["srch", "rep"]).withColumn("node", name("rep")).join(partner, ["srch", "rep"], "left").join(found, "node", "left")
         rows = rows.where("copies > 1 or beside is not null").withColumn("class", F.coalesce("component", "node"))
         group = F.split("class", ":")[1].cast("long").alias("group_id")
-        return rows.select("src", "rec", group, (F.coalesce("beside", F.lit(0)) + F.col("copies") - 1).alias("n_links")).distinct()
+        return rows.select("src", "rec", group, (F.coalesce("beside", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
