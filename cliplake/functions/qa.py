@@ -22,7 +22,7 @@ def _numbered(text: Column, side: str) -> Column:
     numbers = F.regexp_extract_all(text, pattern, F.lit(1))
     bodies = F.regexp_extract_all(text, pattern, F.lit(2))
     return F.transform(
-        F.arrays_zip(numbers.alias("n"), bodies.alias("b")), lambda x, i: F.struct(x["n"].try_cast("long").alias("n"), i.alias("i"), strip(x["b"]).alias("b"))
+        F.arrays_zip(numbers.alias("n"), bodies.alias("b")), lambda x, i: F.struct(F.translate(x["n"], "０１２３４５６７８９", "0123456789").try_cast("long").alias("n"), i.alias("i"), strip(x["b"]).alias("b"))
     )
 
 
