@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cliplake.functions.text import strip
+from cliplake.functions.text import let, strip
 
 # The labels of the answer format.
 _STOP = r"(?=问题\s*\d+\s*[：:]|答案\s*\d+\s*[：:]|$)"
@@ -33,17 +33,24 @@ def parse_pairs(text: Column) -> Column:
     blanks dropped. If there is none, loose labels are zipped in order. A null text gives an empty array.
     """
     text = F.coalesce(text, F.lit(""))
-    qs, answers = _numbered(text, "q"), _numbered(text, "a")
-    last = lambda items, n: F.try_element_at(F.filter(items, lambda y: y["n"] == n), F.lit(-1))["b"]
-    both = F.array_sort(F.array_intersect(F.transform(qs, lambda x: x["n"]), F.transform(answers, lambda x: x["n"])))
-    numbered = F.transform(both, lambda n: F.struct(last(qs, n).alias("question"), last(answers, n).alias("answer")))
-    loose_q = F.regexp_extract_all(text, F.lit(_LOOSE["q"]), F.lit(1))
-    loose_a = F.regexp_extract_all(text, F.lit(_LOOSE["a"]), F.lit(1))
-    size = F.least(F.size(loose_q), F.size(loose_a))
-    zipped = F.arrays_zip(F.slice(loose_q, F.lit(1), size).alias("q"), F.slice(loose_a, F.lit(1), size).alias("a"))
-    loose = F.transform(zipped, lambda x: F.struct(strip(x["q"]).alias("question"), strip(x["a"]).alias("answer")))
-    whole = lambda items: F.filter(items, lambda x: (x["question"] != "") & (x["answer"] != ""))
-    return F.when(F.size(whole(numbered)) > 0, whole(numbered)).otherwise(whole(loose))
+
+    def numbered(x: Column) -> Column:
+        last = lambda items, n: F.try_element_at(F.filter(items, lambda y: y["n"] == n), F.lit(-1))["b"]
+        both = F.array_sort(F.array_intersect(F.transform(x["q"], lambda y: y["n"]), F.transform(x["a"], lambda y: y["n"])))
+        return _whole(F.transform(both, lambda n: F.struct(last(x["q"], n).alias("question"), last(x["a"], n).alias("answer"))))
+
+    def loose(x: Column) -> Column:
+        size = F.least(F.size(x["q"]), F.size(x["a"]))
+        zipped = F.arrays_zip(F.slice(x["q"], F.lit(1), size).alias("q"), F.slice(x["a"], F.lit(1), size).alias("a"))
+        return _whole(F.transform(zipped, lambda y: F.struct(strip(y["q"]).alias("question"), strip(y["a"]).alias("answer"))))
+
+    first = let(numbered, q=_numbered(text, "q"), a=_numbered(text, "a"))
+    other = let(loose, q=F.regexp_extract_all(text, F.lit(_LOOSE["q"]), F.lit(1)), a=F.regexp_extract_all(text, F.lit(_LOOSE["a"]), F.lit(1)))
+    return let(lambda x: F.when(F.size(x["found"]) > 0, x["found"]).otherwise(other), found=first)
+
+
+def _whole(items: Column) -> Column:
+    return F.filter(items, lambda x: (x["question"] != "") & (x["answer"] != ""))
 
 
 def qa_prompt(description: Column, questions: int = 4) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,12 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(body: Callable[[Column], Column], **named: Column) -> Column:
+    """``body`` of a struct of the named columns, each of which is computed once, also if used in lambdas."""
+    bound = F.array(F.struct(*(c.alias(n) for n, c in named.items())))
+    return F.element_at(F.transform(bound, body), 1)
+
+
 def strip(c: Column | str) -> Column:
     """Without leading and trailing Unicode white space; null stays null."""
     return F.regexp_replace(_col(c), EDGE_WHITE, "")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cliplake.functions.rounding import exact_round, seconds
-from cliplake.functions.text import is_blank, words
+from cliplake.functions.text import is_blank, let, words
 from cliplake.session import cut_lineage, table_partitions
 
 
@@ -25,10 +25,12 @@ def clean_cues(cues: Column) -> Column:
 def timed_words(start: Column, end: Column, text: Column) -> Column:
     """Array of (start, end, word): a cue's words spread evenly over it, to one decimal."""
     parts = words(text)
-    n = F.size(parts)
-    step = (end - start) / n
-    at = lambda i: exact_round(start + i * step, 1)
-    return F.transform(parts, lambda w, i: F.struct(at(i).alias("start"), at(i + 1).alias("end"), w.alias("word")))
+
+    def spread(c: Column) -> Column:
+        at = lambda i: exact_round(c["s"] + i * c["d"], 1)
+        return F.transform(c["p"], lambda w, i: F.struct(at(i).alias("start"), at(i + 1).alias("end"), w.alias("word")))
+
+    return let(spread, p=parts, s=start.cast("double"), d=((end - start) / F.size(parts)).cast("double"))
 
 
 def greedy_cuts(ends: list[float], longest: float, gap: float, least: float, last_open: bool = True) -> list[tuple[int, int]]:
