@@ -14,6 +14,7 @@ from cliplake.session import cut_lineage, table_partitions, write_out
 
 SALTS = 16
 HUGE_SHARE = 0.01
+HOT_ONE_IN = 64
 
 
 def video_key(spelling: str | None) -> str | None:
@@ -23,56 +24,48 @@ def video_key(spelling: str | None) -> str | None:
     return "".join(unicodedata.normalize("NFKC", spelling).lower().split()).rstrip("_")
 
 
-def _keys(fn, column: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.assign(key=[fn(x) for x in pdf[column]])
-
-    return run
+def uploader_key(name: str | None) -> str | None:
+    """Lower case without outer white space; None for a null or blank name."""
+    return (name or "").strip().lower() or None
 
 
-def _uploader_key(name: str | None) -> str | None:
-    name = (name or "").strip().lower()
-    return name or None
+def _source_nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        own = [video_key(x) for x in pdf["video_id"]]
+        again = [video_key(x) for x in pdf["reupload_of"]]
+        by = [uploader_key(x) for x in pdf["uploader"]]
+        name = lambda keys, kind: pd.Series([None if k is None else kind + k for k in keys], dtype=object)
+        yield pd.DataFrame({"node": name(own, "v:"), "other": name(again, "v:"), "u": name(by, "u:")})
 
 
-def _with_key(df: DataFrame, column: str, fn) -> DataFrame:
-    """Distinct values of a string column with their key."""
-    once = df.select(F.col(column).cast("string").alias(column)).where(F.col(column).isNotNull()).distinct()
-    return once.mapInPandas(_keys(fn, column), f"{column} string, key string").where("key is not null")
+def _clip_nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        keys = [video_key(x) for x in pdf["video_id"]]
+        out = pdf.assign(node=[None if k is None else "v:" + k for k in keys])
+        yield out[out["node"].notna()]
 
 
 def video_groups(clips: DataFrame, sources: DataFrame, small_edges: int | None = None) -> DataFrame:
-    """(video_id, component) of each distinct non-blank spelling in ``clips``.
+    """(video_id, component, n) of each distinct non-blank spelling in ``clips``, n being its rows.
 
     Videos are tied by equal normalised spelling, by ``reupload_of`` and by uploader, transitively. An
     uploader's videos hang on salted sub-nodes of the uploader's node, so that no adjacency list is long.
     Null and blank ids, uploaders and reuploads tie nothing.
     """
-    spelled = write_out(
-        _with_key(
-            clips.select("video_id")
-            .union(sources.select("video_id"))
-            .union(sources.select(F.col("reupload_of").alias("video_id"))),
-            "video_id",
-            video_key,
-        )
-    )
-    node = spelled.select("video_id", F.concat(F.lit("v:"), "key").alias("node"))
-    rows = sources.select("video_id", "uploader", "reupload_of").join(node, "video_id")
-    again = node.select(F.col("video_id").alias("reupload_of"), F.col("node").alias("other"))
-    reuploads = rows.join(again, "reupload_of").select(F.col("node").alias("a"), F.col("other").alias("b"))
-    uploader = _with_key(sources, "uploader", _uploader_key).select("uploader", F.concat(F.lit("u:"), "key").alias("u"))
+    text = lambda df, *names: df.select(*(F.col(c).cast("string").alias(c) for c in names))
+    spelled = text(clips, "video_id").where("video_id is not null").groupBy("video_id").agg(F.count("*").alias("n"))
+    used = write_out(spelled.mapInPandas(_clip_nodes, "video_id string, n long, node string"))
+    listed = write_out(text(sources, "video_id", "uploader", "reupload_of").mapInPandas(_source_nodes, "node string, other string, u string").where("node is not null"))
     hub = F.concat("u", F.lit("#"), F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("string"))
-    ties = rows.join(uploader, "uploader").select("u", "node", hub.alias("hub"))
+    ties = listed.where("u is not null").select("u", "node", hub.alias("hub"))
     edges = (
-        reuploads.union(ties.select(F.col("hub").alias("a"), F.col("node").alias("b")))
+        listed.select(F.col("node").alias("a"), F.coalesce("other", "node").alias("b"))
+        .union(ties.select(F.col("hub").alias("a"), F.col("node").alias("b")))
         .union(ties.select(F.col("u").alias("a"), F.col("hub").alias("b")))
-        .union(node.select(F.col("node").alias("a"), F.col("node").alias("b")))
+        .union(used.select(F.col("node").alias("a"), F.col("node").alias("b")))
     )
     found = components(edges) if small_edges is None else components(edges, small_edges)
-    used = clips.select("video_id").distinct()
-    return node.join(found, "node").join(used, "video_id", "left_semi").select("video_id", "component")
+    return used.join(found, "node").select("video_id", "component", "n")
 
 
 def _prefix(before: dict[int, int]):
@@ -101,15 +94,12 @@ def split_related(
     Components are laid out in the order of their hash and cut where the running row count crosses the
     proportions. Components of over ``huge_share`` of the rows (fewer than 1 / huge_share) are placed first,
     largest first, each into the split with the most room. A row with a null or blank video_id is tied to
-    nothing and is a component of its own (by row_id; rows without row_id share one). An empty table gives
-    no rows. Existing columns named component or split are replaced.
+    nothing, is a component of its own (by row_id; rows without row_id share one) and draws its split by its
+    hash. An empty table gives no rows. Existing columns named component or split are replaced.
     """
     base = clips.drop("component", "split")
-    groups = video_groups(clips, sources)
-    rows = base.join(groups, "video_id", "left").withColumn(
-        "component", F.coalesce("component", F.concat(F.lit("row:"), F.coalesce(F.col("row_id").cast("string"), F.lit(""))))
-    )
-    sizes = write_out(rows.groupBy("component").agg(F.count("*").alias("n")))
+    groups = write_out(video_groups(clips, sources))
+    sizes = write_out(groups.groupBy("component").agg(F.sum("n").alias("n")))
     total = sizes.agg(F.sum("n")).first()[0] or 0
     names = [name for name, _ in proportions]
     room = {name: share * total for name, share in proportions}
@@ -144,4 +134,17 @@ def split_related(
     if placed:
         fixed = clips.sparkSession.createDataFrame(list(placed.items()), "component string, split string")
         assigned = assigned.union(fixed)
-    return rows.join(assigned, "component")
+    by_video = write_out(groups.join(assigned, "component").select("video_id", "component", "split", "n"))
+    # a hot video's rows meet their split in place: at most HOT_ONE_IN videos are hot
+    is_hot = F.col("n") * HOT_ONE_IN > max(total, 1)
+    hot = F.broadcast(by_video.where(is_hot).drop("n"))
+    warm = base.join(hot, "video_id")
+    rest = base.join(F.broadcast(by_video.where(is_hot).select("video_id")), "video_id", "left_anti").join(by_video.where(~is_hot).drop("n"), "video_id", "left")
+    own = F.concat(F.lit("row:"), F.coalesce(F.col("row_id").cast("string"), F.lit("")))
+    draw = F.pmod(F.xxhash64(own, F.lit(seed)), F.lit(1_000_000)) / 1_000_000
+    edge, drawn = 1.0, F.lit(names[-1])
+    for name, share in reversed(proportions[1:]):
+        edge -= share
+        drawn = F.when(draw < edge, proportions[[n for n, _ in proportions].index(name) - 1][0]).otherwise(drawn)
+    alone = rest.withColumns({"component": F.coalesce("component", own), "split": F.coalesce("split", drawn)})
+    return warm.unionByName(alone)

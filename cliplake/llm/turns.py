@@ -35,7 +35,7 @@ _LEAD = re.compile(
 _PAIRS = {"[": "]", "【": "】", "(": ")", "（": "）", "<": ">", "〈": "〉", "{": "}", "［": "］", "＜": "＞", "〔": "〕"}
 _BRACKET = re.compile(r"\[([^\]]*)\]|【([^】]*)】|[(（]([^)）]*)[)）]|[<＜]([^>＞]*)[>＞]|〈([^〉]*)〉|\{([^}]*)\}|［([^］]*)］|〔([^〕]*)〕")
 _STAMP_ONLY = re.compile(rf"\s*(?:{_STAMP}|{_SHORT_STAMP})(?:\s*(?:-+>|[-–~])\s*(?:{_STAMP}|{_SHORT_STAMP})?)?\s*$")
-_LABEL = re.compile(r"([^:：\[\]【】()（）<>♪*\n]{1,40}?)\s*[:：]")
+_LABEL = re.compile(r"([^:：\[\]【】()（）<>♪*\n]{1,40}?)(?:\s*(?:说道?|says?|said))?(?:\s*[:：]|\s+[-–—|>»](?=\s))")
 _NOTE = re.compile(r"\*[^*\n]{1,60}\*|♪[^♪]*♪|[♪♫♬]+|#[^#\n]{1,60}#(?=\s|$)")
 _INNER_STAMP = re.compile(rf"[\[(【（<]\s*(?:{_STAMP}|{_SHORT_STAMP})\s*[\])】）>]|{_STAMP}\s*-+>\s*{_STAMP}")
 _EDGE = re.compile(r"^[\s,，、.。…·\-–—:：;；]+|\s+$")
@@ -87,7 +87,8 @@ def parse_cue(text: str | None, names: dict[str, str]) -> tuple[str | None, str]
         state = "BODY"
     body = _INNER_STAMP.sub(" ", text[at:])
     body = _BRACKET.sub(" ", _NOTE.sub(" ", body))
-    return speaker, _strip_fillers(body)
+    words = _strip_fillers(body)
+    return speaker, "" if name_key(words.strip(" .,，。!！?？:：")) in names else words
 
 
 def _strip_fillers(body: str) -> str:

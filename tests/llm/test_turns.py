@@ -38,6 +38,10 @@ CUES_DDL = "cue_id long, video_id string, text string, start_ms long, end_ms lon
         ("...", None, ""),
         ("", None, ""),
         (None, None, ""),
+        ("阿岚", None, ""),
+        ("解说阿岚：TV。", "s1", ""),
+        ("阿岚说：好球", "s1", "好球"),
+        ("阿岚 - 好球", "s1", "好球"),
         ("Tov: text", None, "Tov: text"),
     ],
 )
