@@ -94,11 +94,11 @@ class Grams:
         newline = (flat == 10) | (flat == 13)
         follows_space = np.ones(n, bool)
         follows_space[:-1] = np.isin(flat[1:], np.array([32, 10, 13, 9, 0x3000, 34, 39, 41], np.uint32))
+        last = offsets[1:][np.diff(offsets) > 0] - 1
+        follows_space[last] = True  # what follows there is another text
         mark = np.isin(flat, _MARKS) | ((flat == 46) & follows_space)
         ends = mark | newline
-        if n:
-            last = offsets[1:][np.diff(offsets) > 0] - 1
-            ends[last] = True
+        ends[last] = True
         self.sentence = np.concatenate([[0], np.cumsum(ends)[:-1]]) if n else np.empty(0, np.int64)
         self.count = int(ends.sum())
         stop = np.flatnonzero(ends)

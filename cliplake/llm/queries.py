@@ -127,7 +127,7 @@ def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every test item with the number of documents that hold it."""
     found = _leaks(spark, sf_dir).groupBy("item_id").agg(F.count("*").alias("n_documents"), F.max("contained").alias("most_contained"))
     items = read_table(spark, sf_dir, "eval_passages").select("item_id", "suite")
-    return items.join(found, "item_id", "left").select("item_id", "suite", F.coalesce("n_documents", F.lit(0)).alias("n_documents"), "most_contained")
+    return items.join(found, "item_id", "left").select("item_id", "suite", F.coalesce("n_documents", F.lit(0)).alias("n_documents"), F.round(F.coalesce("most_contained", F.lit(0.0)), 6).alias("most_contained"))
 
 
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,4 +168,55 @@ QUERIES = {
     "p9_items": p9_items,
 }
 
-SQL: dict[str, str] = {}
+# Unicode white space as DuckDB's regex spells it, and the full-width forms of ASCII with what NFKC makes of them.
+_W = r"[\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_WIDE, _PLAIN = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F)), "".join(map(chr, range(0x21, 0x7F))).replace("'", "''")
+
+
+def _dense(x: str) -> str:
+    return f"regexp_replace({x}, '{_W}', '', 'g')"
+
+
+def _key(x: str) -> str:
+    return f"rtrim(lower(translate({_dense(x)}, '{_WIDE}', '{_PLAIN}')), '_')"
+
+
+def _written(x: str) -> str:
+    return f"{_dense(x)} <> ''"
+
+
+def _alnum(x: str) -> str:
+    return f"regexp_replace(lower(nfc_normalize(translate({x}, '{_WIDE}', '{_PLAIN}'))), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
+
+
+_HELD = f"""items AS (SELECT item_id, {_alnum("text")} AS t FROM eval_passages),
+ grams AS (SELECT DISTINCT item_id, g FROM (SELECT item_id, unnest(list_transform(range(1, length(t) - 8), lambda i: substr(t, i, 10))) AS g FROM items WHERE length(t) >= 10)),
+ sizes AS (SELECT item_id, count(*) AS n FROM grams GROUP BY item_id),
+ docs AS (SELECT doc_id, {_alnum("text")} AS t FROM documents WHERE text IS NOT NULL),
+ held AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, unnest(list_transform(range(1, length(t) - 8), lambda i: substr(t, i, 10))) AS g FROM docs WHERE length(t) >= 10) WHERE g IN (SELECT g FROM grams)),
+ met AS (SELECT doc_id, item_id, count(*) AS k FROM held JOIN grams USING (g) GROUP BY ALL),
+ leaks AS (SELECT doc_id, item_id, k::DOUBLE / n AS share FROM met JOIN sizes USING (item_id) WHERE k >= 0.4 * n)"""
+
+SQL: dict[str, str] = {
+    "p9_found": f"WITH {_HELD} SELECT doc_id, item_id FROM leaks",
+    "p9_items": f"""WITH {_HELD} SELECT p.item_id, p.suite, count(doc_id) AS n_documents, round(coalesce(max(share), 0.0), 6) AS most_contained FROM eval_passages p LEFT JOIN leaks USING (item_id) GROUP BY ALL""",
+    "p1_found": f"""WITH RECURSIVE src AS (
+  SELECT 'v:' || {_key("video_id")} AS v, CASE WHEN {_written("reupload_of")} THEN 'v:' || {_key("reupload_of")} END AS r,
+    CASE WHEN {_written("uploader")} THEN 'u:' || lower(regexp_replace(uploader, '^{_W}+|{_W}+$', '', 'g')) END AS u FROM video_sources WHERE {_written("video_id")}),
+ clips AS (SELECT DISTINCT video_id, 'v:' || {_key("video_id")} AS v FROM clip_descriptions_copy WHERE {_written("video_id")}),
+ one AS (SELECT v AS a, r AS b FROM src WHERE r IS NOT NULL UNION SELECT v, u FROM src WHERE u IS NOT NULL),
+ edges AS (SELECT a, b FROM one UNION SELECT b, a FROM one),
+ reach AS (SELECT DISTINCT v AS x, v AS y FROM clips UNION SELECT reach.x, edges.b FROM reach JOIN edges ON edges.a = reach.y),
+ comp AS (SELECT x, min(y) AS c FROM reach GROUP BY x),
+ named AS (SELECT clips.video_id, min(clips.video_id) OVER (PARTITION BY comp.c) AS video_a FROM clips JOIN comp ON comp.x = clips.v)
+SELECT DISTINCT video_a, video_id AS video_b FROM named WHERE video_id <> video_a""",
+    "p3_found": f"""WITH recs AS (
+  SELECT 'clip' AS src, row_id AS rec, {_dense("description")} AS t FROM clip_descriptions_copy
+  UNION ALL SELECT 'pair', pair_id, {_dense("current_clip.description")} FROM clip_pairs_all),
+ grams AS (SELECT DISTINCT src, rec, g FROM (SELECT src, rec, unnest(list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) AS g FROM recs WHERE length(t) >= 40)),
+ sizes AS (SELECT src, rec, count(*) AS n FROM grams GROUP BY ALL),
+ met AS (SELECT x.src, x.rec AS a, y.rec AS b, count(*) AS k FROM grams x JOIN grams y ON x.src = y.src AND x.g = y.g AND x.rec < y.rec GROUP BY ALL)
+SELECT met.src, a AS rec_a, b AS rec_b FROM met JOIN sizes p ON p.src = met.src AND p.rec = a JOIN sizes q ON q.src = met.src AND q.rec = b WHERE k >= 0.7 * (p.n + q.n - k)""",
+    "p4_found": f"""SELECT row_id FROM (SELECT row_id, {_dense("description")} AS t FROM clip_descriptions_copy)
+WHERE length(t) >= 40 AND 1 - len(list_distinct(list_transform(range(1, length(t) - 6), lambda i: substr(t, i, 8))))::DOUBLE / (length(t) - 7) >= 0.25""",
+}

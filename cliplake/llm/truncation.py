@@ -83,7 +83,7 @@ def features(text: str, at_limit: int) -> list[int]:
     return [zlib.crc32(x.encode("utf-8", "surrogatepass")) & mask for x in names]
 
 
-def make_examples(texts: list[str], seed: int = 7, cuts: int = 6, bare_is_whole: bool = True) -> list[tuple[str, int, float]]:
+def make_examples(texts: list[str], seed: int = 7, cuts: int = 10, bare_is_whole: bool = True) -> list[tuple[str, int, float]]:
     """(text, at_limit, label) examples from intact texts: cuts inside sentences, and whole endings.
 
     A sentence without its mark is whole if ``bare_is_whole``, else one more cut.
@@ -112,7 +112,7 @@ def make_examples(texts: list[str], seed: int = 7, cuts: int = 6, bare_is_whole:
                 elif style < 0.32:
                     piece += "�"
                 out.append((piece, int(rng.choice([0, 1, 2], p=[0.5, 0.2, 0.3])), 1.0))
-            spaced = bare + " " if rng.random() < 0.03 else bare
+            spaced = bare + " " if rng.random() < 0.005 else bare
             out.append((spaced, int(rng.choice([0, 1, 2], p=[0.9, 0.05, 0.05])), 0.0 if bare_is_whole else 1.0))
             if k < 2:
                 out.append((whole, int(rng.choice([0, 1, 2], p=[0.8, 0.1, 0.1])), 0.0))

@@ -177,3 +177,9 @@ def test_letter_vectors_are_fixed_and_nearly_orthogonal():
     assert (a == L.letter_vectors(np.array([97, 98, 0x4E2D]))).all()
     products = a.astype(int) @ a.T.astype(int) / L.DIMENSIONS
     assert np.allclose(np.diag(products), 1) and np.abs(products - np.eye(3)).max() < 0.1
+
+
+def test_sentences_end_at_text_ends_and_marks():
+    grams = L.Grams(["Go left. Now\nthen", "", "One line.", "中。文"])
+    assert grams.owner.tolist() == [0, 0, 0, 2, 3, 3] and grams.marked.tolist() == [True, False, False, True, True, False]
+    assert grams.letters.tolist() == [6, 3, 4, 7, 1, 1]
