@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import shutil
 from collections.abc import Iterator
@@ -19,6 +20,23 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", one_file: boo
     rows.write.mode(mode).option("ignoreNullFields", str(not keep_nulls).lower()).json(path)
 
 
+def write_json_array(df: DataFrame, path: str) -> int:
+    """Rows as one pretty JSON array in a local file, streamed through the driver; no file if there are no rows."""
+    n = 0
+    out = None
+    try:
+        for r in df.select(to_line(*df.columns).alias("line")).toLocalIterator():
+            out = out or open(path, "w", encoding="utf-8")  # noqa: SIM115
+            out.write(("[\n" if not n else ",\n") + json.dumps(json.loads(r.line), ensure_ascii=False, indent=2))
+            n += 1
+        if out:
+            out.write("\n]\n")
+    finally:
+        if out:
+            out.close()
+    return n
+
+
 def to_line(*columns: str) -> Column:
     """The row as one JSON text, nulls written."""
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
