@@ -47,14 +47,14 @@ def pair_clips(spark: SparkSession, descriptions: str, clip_dir: str, out: str,
 
 def pairs_to_training(spark: SparkSession, pairs: str, out: str, skip_no_previous: bool = False, options: RecordOptions = RecordOptions()) -> dict[str, int]:
     """Pairs to training records; with ``skip_no_previous`` only those whose predecessor has a description."""
-    good, _ = read_jsonl(spark, pairs, PAIR)
+    good, _ = read_jsonl(spark, pairs, PAIR, exact=False)
     rows = good.where(or_else("previous_clip.description").isNotNull()) if skip_no_previous else good
     made = rows.select("file", "line_no", pair_record(F.col("previous_clip"), F.col("current_clip"), options).alias("r")).where("r is not null")
     return _write(made.orderBy("file", "line_no").select("r.*"), out, "pairs to training")
 
 
 def qa_to_training(spark: SparkSession, qa: str, out: str, options: RecordOptions = RecordOptions()) -> dict[str, int]:
-    good, _ = read_jsonl(spark, qa, QA)
+    good, _ = read_jsonl(spark, qa, QA, exact=False)
     path = or_else("source_clip_path", "clip_path")
     made = good.select(
         "file", "line_no", qa_record(F.col("question"), F.col("answer"), path, F.col("video_id"), F.col("start_time"), F.col("end_time"), options).alias("r")
@@ -64,8 +64,8 @@ def qa_to_training(spark: SparkSession, qa: str, out: str, options: RecordOption
 
 def merge_to_training(spark: SparkSession, pairs: str, descriptions: str, out: str, skip_no_description: bool = False, options: RecordOptions = RecordOptions()) -> dict[str, int]:
     """Pairs and scene descriptions to records that answer with both; ``skip_no_description`` needs a scene."""
-    good, _ = read_jsonl(spark, pairs, PAIR)
-    index, _ = read_jsonl(spark, descriptions, CLIP)
+    good, _ = read_jsonl(spark, pairs, PAIR, exact=False)
+    index, _ = read_jsonl(spark, descriptions, CLIP, exact=False)
     numbered = dense_ordinal(index.where(valid_key(False)), ["file", "line_no"]).select("video_id", "clip_number", "description", "ordinal")
     rows = with_scene(good.where("current_clip is not null"), last_wins(numbered, ["video_id", "clip_number"], "ordinal"))
     if skip_no_description:
@@ -76,7 +76,7 @@ def merge_to_training(spark: SparkSession, pairs: str, descriptions: str, out: s
 
 def merge_training_files(spark: SparkSession, inputs: list[str], out: str, shuffle: bool = False, seed: int = 42) -> dict[str, int]:
     """Record files one after the other, or in an order that depends on the seed and the rows' places only."""
-    parts = [read_jsonl(spark, path, RECORD)[0].withColumn("source_rank", F.lit(k)) for k, path in enumerate(inputs)]
+    parts = [read_jsonl(spark, path, RECORD, exact=False)[0].withColumn("source_rank", F.lit(k)) for k, path in enumerate(inputs)]
     rows = reduce(DataFrame.unionByName, parts)
     place = F.concat_ws(":", "source_rank", "file", "line_no")
     order = [shuffle_key(place, seed)] if shuffle else ["source_rank", "file", "line_no"]

@@ -46,7 +46,7 @@ def stored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = f"{ensure_checkpoint_dir(spark)}/jsonl-{uuid.uuid4().hex}"
     write_jsonl(read_table(spark, sf_dir, "clip_qa_pairs").select("qa_id", "question", "answer", "end_time"), path)
-    good, _ = read_jsonl(spark, path, "qa_id LONG, question STRING, answer STRING, end_time DOUBLE")
+    good, _ = read_jsonl(spark, path, "qa_id LONG, question STRING, answer STRING, end_time DOUBLE", exact=False)
     return good.select("qa_id", "question", "answer", "end_time")
 
 

@@ -10,11 +10,17 @@ from cliplake.functions.text import strip
 BAD = "_corrupt"
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, line): every line of every file, numbered from 1, blank ones included.
+def lines(spark: SparkSession, path: str, exact: bool = True) -> DataFrame:
+    """(file, line_no, line) of every line of every file.
 
-    Files are read whole, one to a row, as their line numbers are part of the data: for files that fit a task.
+    ``exact`` numbers from 1, blank lines included; such files are read whole, one to a row, and must fit a
+    task. Otherwise files of any size are split, and ``line_no`` is a unique number that only sorts as the lines
+    do: a block's place in the file plus the line's place among its task's lines, of which there are fewer than
+    bytes.
     """
+    if not exact:
+        place = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+        return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), place.alias("line_no"), F.col("value").alias("line"))
     files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     split = F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("at", "line")
     return files.select("file", split).select("file", (F.col("at") + 1).alias("line_no"), "line")
@@ -35,9 +41,12 @@ def parsed(rows: DataFrame, text: str, schema: str) -> DataFrame:
     return out.select(*keep, *(F.col(f"_json.{f}").alias(f) for f in fields), bad.alias(BAD))
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(good rows, bad rows (file, line_no, _corrupt)); blank lines are neither. ``strict`` fails on a bad row."""
-    rows = parsed(lines(spark, path).where(strip(F.col("line")) != ""), "line", schema)
+def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = False, exact: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(good rows, bad rows (file, line_no, _corrupt)); blank lines are neither. ``strict`` fails on a bad row.
+
+    ``exact`` as in :func:`lines`.
+    """
+    rows = parsed(lines(spark, path, exact).where(strip(F.col("line")) != ""), "line", schema)
     if strict:
         bad = F.when(F.col(BAD).isNotNull(), F.raise_error(F.concat(F.lit("bad line "), F.col("line_no").cast("string"))).cast("boolean")).otherwise(True)
         return rows.where(bad).drop(BAD), rows.where(F.lit(False)).select("file", "line_no", BAD)

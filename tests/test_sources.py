@@ -20,6 +20,21 @@ def test_jsonl_keeps_ordinals_and_reports_bad_rows(spark, tmp_path):
         strict.collect()
 
 
+def test_lines_of_split_files_keep_their_order(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.jsonl").write_text("".join(f'{{"a": {k}}}\n' for k in range(3000)), encoding="utf-8")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10k")
+    try:
+        rows = jsonl.read_jsonl(spark, str(tmp_path), "a LONG", exact=False)[0].collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len({(r.file, r.line_no) for r in rows}) == 6000
+    for name in ("a", "b"):
+        own = sorted((r.line_no, r.a) for r in rows if r.file.endswith(f"{name}.jsonl"))
+        assert [a for _, a in own] == list(range(3000))
+
+
 def test_json_arrays_skip_scalars_and_sniffing_takes_lines(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"a": 1}, 7, "x", {"a": 2}, null]', encoding="utf-8")
     (tmp_path / "b.json").write_text('{"a": 3}\nbroken\n{"a": 4}', encoding="utf-8")
