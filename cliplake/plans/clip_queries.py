@@ -124,9 +124,9 @@ def pair_previous_all(s: SparkSession, d: str) -> DataFrame:
 
 
 def pair_previous_stubs(s: SparkSession, d: str) -> DataFrame:
-    """Described clips are those with an odd row id only, so that predecessors without a description occur."""
-    described = J.clip_index(_clips(s, d).withColumn("description", F.when(F.col("row_id") % 2 == 1, F.col("description"))).where("row_id % 3 <> 0"), "row_id")
-    made = J.pair_with_previous(described, _files(s, d), trim_ids=True)
+    """Described are the clips of the pairs only, so that predecessors without a description occur."""
+    current = _pairs(s, d).where("current_clip is not null").select("current_clip.*", "pair_id")
+    made = J.pair_with_previous(J.clip_index(current, "pair_id"), _files(s, d), trim_ids=True)
     return made.select(
         F.col("current_clip.video_id").alias("video_id"), F.col("current_clip.clip_number").alias("clip_number"), F.col("previous_clip.clip_path").alias("previous_path"),
         F.col("previous_clip.start_time").alias("previous_start"), "previous_has_description",
@@ -190,7 +190,7 @@ def anti_join_resume(s: SparkSession, d: str) -> DataFrame:
 
 
 def existence_audit(s: SparkSession, d: str) -> DataFrame:
-    rows = J.presence(_qa(s, d), P.basename(F.col("source_clip_path")), _clips(s, d).where("row_id % 2 = 0"), P.basename(F.col("clip_path")))
+    rows = J.presence(_clips(s, d), P.basename(F.col("clip_path")), _qa(s, d), P.basename(F.col("source_clip_path")))
     return rows.groupBy("present").agg(F.count("*").alias("n_rows"), F.count_distinct("video_id").alias("n_videos"))
 
 
@@ -299,7 +299,7 @@ SQL = {
     "pair_previous_all": _pair_sql("clip_descriptions_copy", "LEFT", _PAIR_COLUMNS),
     "pair_previous_stubs": _pair_sql(
         "odd", "", "c.video_id, c.clip_number, CASE WHEN k.video_id IS NOT NULL THEN k.clip_path ELSE f.file END AS previous_path, CASE WHEN k.video_id IS NOT NULL THEN k.start_time ELSE s.start_time END AS previous_start, coalesce(k.description, '') <> '' AS previous_has_description",
-        "odd AS (SELECT * REPLACE (CASE WHEN row_id % 2 = 1 THEN description END AS description) FROM clip_descriptions_copy WHERE row_id % 3 <> 0), ",
+        "odd AS (SELECT pair_id AS row_id, current_clip.clip_path, current_clip.clip_filename, current_clip.video_id, current_clip.clip_number, current_clip.start_time, current_clip.end_time, current_clip.duration, current_clip.description FROM clip_pairs_all WHERE current_clip IS NOT NULL), ",
     ),
     "merge_left_join": f"WITH {_SCENES} SELECT pair_id, current_clip.video_id AS video_id, current_clip.clip_number AS clip_number, scene FROM scenes",
     "merge_counts": f"""WITH {_SCENES}, b AS (SELECT {_blank("scene")} AS ns, {_blank("current_clip.description")} AS na FROM scenes WHERE current_clip IS NOT NULL)
@@ -313,8 +313,8 @@ SQL = {
  FROM clip_qa_pairs WHERE NOT {_blank("question")} AND NOT {_blank("answer")} AND coalesce(source_clip_path, '') <> '')""",
     "skip_attribution": f"SELECT CASE WHEN coalesce(previous_clip.description, '') = '' THEN 'no_previous' WHEN {_blank('current_clip.description')} THEN 'no_description' ELSE 'converted' END AS cause, count(*) AS n_pairs FROM clip_pairs_all GROUP BY 1",
     "anti_join_resume": "SELECT row_id FROM clip_descriptions_copy c WHERE NOT EXISTS (SELECT 1 FROM clip_qa_pairs q WHERE nullif(q.source_clip_path, '') = coalesce(nullif(c.clip_path, ''), nullif(c.clip_filename, '')))",
-    "existence_audit": """SELECT l.n IS NOT NULL AS present, count(*) AS n_rows, count(DISTINCT q.video_id) AS n_videos FROM clip_qa_pairs q
- LEFT JOIN (SELECT DISTINCT regexp_replace(clip_path, '^.*/', '') AS n FROM clip_descriptions_copy WHERE row_id % 2 = 0 AND clip_path IS NOT NULL) l ON l.n = regexp_replace(q.source_clip_path, '^.*/', '') GROUP BY 1""",
+    "existence_audit": """SELECT l.n IS NOT NULL AS present, count(*) AS n_rows, count(DISTINCT c.video_id) AS n_videos FROM clip_descriptions_copy c
+ LEFT JOIN (SELECT DISTINCT regexp_replace(source_clip_path, '^.*/', '') AS n FROM clip_qa_pairs WHERE source_clip_path IS NOT NULL) l ON l.n = regexp_replace(c.clip_path, '^.*/', '') GROUP BY 1""",
     "pair_flags": "SELECT has_previous, CAST(previous_has_description AS VARCHAR) AS previous_has_description, count(*) AS n_pairs FROM clip_pairs_all GROUP BY 1, 2",
 }
 

@@ -132,7 +132,7 @@ def _answers(s: SparkSession, d: str) -> DataFrame:
     label = F.when(F.col("doc_id") % 3 == 0, "是否是CS2或CSGO：否\n").when(F.col("doc_id") % 3 == 1, "是否是CS2或CSGO：是\n").otherwise("")
     named = F.when(F.col("doc_id") % 4 == 0, "这是CS2游戏。").otherwise("")
     rows = read_table(s, d, "documents").where("text is not null")
-    return rows.select("doc_id", F.concat(label, named, "text").alias("answer"), F.concat(F.lit("/videos/"), F.col("doc_id").cast("string"), F.lit(".mp4")).alias("path"))
+    return rows.select("doc_id", "lang", F.concat(label, named, "text").alias("answer"), F.concat(F.lit("/videos/"), F.col("doc_id").cast("string"), F.lit(".mp4")).alias("path"))
 
 
 def verdict_parse(s: SparkSession, d: str) -> DataFrame:
@@ -147,7 +147,7 @@ def verdict_tally(s: SparkSession, d: str) -> DataFrame:
 
 def delete_plan(s: SparkSession, d: str) -> DataFrame:
     rows = _answers(s, d).select(F.col("path").alias("video_path"), F.lit(None).cast("string").alias("video_filename"), V.verdict_reason(F.col("answer")).alias("reason"))
-    return plan_deletes(rows, _answers(s, d).where("doc_id % 2 = 0").select("path"))
+    return plan_deletes(rows, _answers(s, d).where("lang is not null").select("path"))
 
 
 def _responses(s: SparkSession, d: str, loose: bool) -> DataFrame:
@@ -210,7 +210,7 @@ QUERIES = {f.__name__: f for f in _NAMES}
 
 _PREV = lambda x, n: f"CASE WHEN coalesce({sql_strip(x)}, '') = '' THEN '...' WHEN length({sql_strip(x)}) > {n} THEN '...' || right({sql_strip(x)}, {n}) ELSE {sql_strip(x)} END"
 _WORDS = "list_filter(w, lambda x, i: i = 1 OR x <> w[i - 1])"
-_ANSWERS = """answers AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '是否是CS2或CSGO：否' || chr(10) WHEN doc_id % 3 = 1 THEN '是否是CS2或CSGO：是' || chr(10) ELSE '' END
+_ANSWERS = """answers AS (SELECT doc_id, lang, CASE WHEN doc_id % 3 = 0 THEN '是否是CS2或CSGO：否' || chr(10) WHEN doc_id % 3 = 1 THEN '是否是CS2或CSGO：是' || chr(10) ELSE '' END
  || CASE WHEN doc_id % 4 = 0 THEN '这是CS2游戏。' ELSE '' END || text AS answer, '/videos/' || doc_id || '.mp4' AS path FROM documents WHERE text IS NOT NULL)"""
 _HEAD = f"CASE WHEN length({sql_strip('answer')}) > 300 THEN left({sql_strip('answer')}, 300) || '...' ELSE {sql_strip('answer')} END"
 
@@ -262,7 +262,7 @@ SQL = {
     "group_limit": "SELECT video_id, clip_number, row_id FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY clip_number, row_id) AS k FROM clip_descriptions_copy WHERE video_id IS NOT NULL AND clip_number IS NOT NULL) WHERE k <= 3",
     "verdict_parse": f"WITH {_ANSWERS} SELECT doc_id, ({_contains('low', V.AFFIRMING)} AND NOT {_contains('low', V.NEGATING)}) OR ({_contains('low', V.GAME_WORDS)} AND NOT {_contains('low', V.NEGATING + V.OTHER_GAMES)}) AS legacy, {_STRICT} AS strict, {_HEAD} AS reason FROM (SELECT *, lower(answer) AS low FROM answers)",
     "verdict_tally": f"WITH {_ANSWERS} SELECT {_STRICT} AS verdict, count(*) AS n_videos FROM answers GROUP BY 1",
-    "delete_plan": f"WITH {_ANSWERS} SELECT path, regexp_replace(path, '\\.mp4$', '.json') AS sidecar, doc_id % 2 = 0 AS exists FROM answers WHERE contains({_HEAD}, '{V.DENIAL}')",
+    "delete_plan": f"WITH {_ANSWERS} SELECT path, regexp_replace(path, '\\.mp4$', '.json') AS sidecar, lang IS NOT NULL AS exists FROM answers WHERE contains({_HEAD}, '{V.DENIAL}')",
     "qa_parse_numbered": f"WITH {_RESPONSES} SELECT qa_id, 0 AS at, '第一' AS question, {sql_strip('answer')} AS answer FROM resp UNION ALL SELECT qa_id, 1, {sql_strip('question')}, {sql_strip('answer')} FROM resp",
     "qa_parse_loose": f"WITH {_RESPONSES} SELECT qa_id, 0 AS at, {sql_strip('question')} AS question, {sql_strip('answer')} AS answer FROM resp",
     "json_field_scan": "SELECT TRY_CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS n_events FROM events GROUP BY 1",
