@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _B = 0x9E3779B97F4A7C15
 
 
+def text_slices(texts: list[str | None], rows: int = 2_000, chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of a batch that hold at most ``rows`` texts and ``chars`` characters, or a single longer text."""
+    start = size = 0
+    for k, t in enumerate(texts):
+        n = len(t or "")
+        if k > start and (k - start >= rows or size + n > chars):
+            yield start, k
+            start, size = k, 0
+        size += n
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """All code points of the batch one after another, and the n + 1 offsets of its texts."""
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cliplake.llm.chars import code_points, mix
+from cliplake.llm.chars import code_points, mix, text_slices
 
 LANGUAGES = ("zh", "en", "ja", "ko", "ru", "es", "pt", "de", "fr")
 DIMENSIONS = 4096
@@ -290,10 +290,11 @@ def language_segments(documents: DataFrame, doc: str, text: str, label: str, sam
         profiles = shared.value
         names = np.array(LANGUAGES, dtype=object)
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                owner, start, stop, lang, confidence, full = segments_of(profiles, batch.column("text").to_pylist())
-                base = np.concatenate([[0], np.cumsum([len(t) for t in batch.column("text").to_pylist()])])[owner]
+            texts = whole.column("text").to_pylist()
+            for at, end in text_slices(texts, 1_000):
+                batch = whole.slice(at, end - at)
+                owner, start, stop, lang, confidence, full = segments_of(profiles, texts[at:end])
+                base = np.concatenate([[0], np.cumsum([len(t) for t in texts[at:end]])])[owner]
                 fresh = np.concatenate([[True], owner[1:] != owner[:-1]]) if len(owner) else np.empty(0, bool)
                 number = np.arange(len(owner)) - np.maximum.accumulate(np.where(fresh, np.arange(len(owner)), 0)) if len(owner) else owner
                 take = pa.array(owner)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cliplake.llm.chars import code_points, window_hashes
+from cliplake.llm.chars import code_points, text_slices, window_hashes
 from cliplake.session import write_out
 
 SHINGLE = 10
@@ -51,41 +52,56 @@ def _batch(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return flat[keep], np.concatenate([[0], np.cumsum(keep)])[offsets]
 
 
-def build_sketches(items: list[tuple[int, str]], shingle: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sketch hashes sorted, their item index, items' sketch sizes) over the size partitions of the items.
+@dataclass(frozen=True)
+class Partition:
+    """The sketches of the items of one size class: what a document's MinHash values are met with."""
 
-    Items of more than ``size`` shingles keep their ``size`` smallest hashes, smaller ones keep all: the
-    partition of the short items needs no estimate.
+    top: np.uint64  # the largest sketch value: documents keep their values up to it
+    filter: np.ndarray  # which low bits of a value occur in the sketches
+    hashes: np.ndarray  # sketch values, sorted
+    items: np.ndarray  # the item of each value
+    least: np.ndarray  # hits that an item needs, by item
+
+
+def build_partitions(items: list[tuple[int, str]], shingle: int, size: int = SKETCH) -> list[Partition]:
+    """Partitions of the items by the power of two of their number of shingles.
+
+    Items of more than ``size`` shingles keep their ``size`` smallest hashes, smaller ones all. The larger a
+    partition's items, the lower its threshold, and the fewer of a document's values it looks at.
     """
-    hashes, index, sizes = [], [], []
+    by: dict[int, list[tuple[int, np.ndarray]]] = {}
     for k, (_, text) in enumerate(items):
-        flat, offsets = code_points([normalise(text)])
-        own = np.unique(window_hashes(flat, offsets, shingle)[0])
-        own = own[:size]
-        hashes.append(own)
-        index.append(np.full(len(own), k))
-        sizes.append(len(own))
-    flat_h, flat_i = np.concatenate([*hashes, np.empty(0, np.uint64)]), np.concatenate([*index, np.empty(0, np.int64)])
-    order = np.argsort(flat_h, kind="stable")
-    return flat_h[order].astype(np.uint64), flat_i[order].astype(np.int64), np.array(sizes, np.int64)
-
-
-def _meet(batch_hashes: np.ndarray, owner: np.ndarray, sketch: tuple, filter_bits: np.ndarray, top: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    """(document, item) index pairs of the batch whose sketch hits reach the least share."""
-    h, items, sizes = sketch
-    small = batch_hashes <= top  # the documents' own MinHash values
-    batch_hashes, owner = batch_hashes[small], owner[small]
-    likely = filter_bits[(batch_hashes >> np.uint64(8)) & np.uint64(len(filter_bits) - 1)]
-    pair = np.unique(np.stack([owner[likely].astype(np.uint64), batch_hashes[likely]]), axis=1)
+        own = np.unique(window_hashes(*code_points([normalise(text)]), shingle)[0])
+        by.setdefault(len(own).bit_length(), []).append((k, own[:size]))
+    out = []
+    for group in by.values():
+        hashes = np.concatenate([h for _, h in group])
+        index = np.concatenate([np.full(len(h), k) for k, h in group])
+        order = np.argsort(hashes, kind="stable")
+        bits = np.zeros(1 << min(24, max(12, (64 * len(hashes)).bit_length())), bool)
+        bits[(hashes >> np.uint64(3)) & np.uint64(len(bits) - 1)] = True
+        least = np.zeros(len(items), np.int64)
+        for k, h in group:
+            least[k] = max(1, int(LEAST_HITS * len(h)))
+        out.append(Partition(hashes.max(), bits, hashes[order], index[order], least))
+    return out
+
+
+def _meet(hashes: np.ndarray, owner: np.ndarray, part: Partition) -> tuple[np.ndarray, np.ndarray]:
+    """(document, item) index pairs of a batch whose hits reach the least number of the item's sketch."""
+    kept = hashes <= part.top  # the documents' own MinHash values
+    kept &= part.filter[(hashes >> np.uint64(3)) & np.uint64(len(part.filter) - 1)]
+    pair = np.unique(np.stack([owner[kept].astype(np.uint64), hashes[kept]]), axis=1)
     docs, values = pair[0].astype(np.int64), pair[1]
-    lo, hi = np.searchsorted(h, values, "left"), np.searchsorted(h, values, "right")
+    lo, hi = np.searchsorted(part.hashes, values, "left"), np.searchsorted(part.hashes, values, "right")
     times = hi - lo
     doc = np.repeat(docs, times)
-    first = np.concatenate([[0], np.cumsum(times)])[:-1]
-    item = items[np.repeat(lo - first, times) + np.arange(len(doc))] if len(doc) else np.empty(0, np.int64)
-    key, hits = np.unique(doc * len(sizes) + item, return_counts=True)
-    doc, item = key // max(len(sizes), 1), key % max(len(sizes), 1)
-    enough = hits >= np.maximum(1, np.floor(LEAST_HITS * sizes[item]))
+    first = np.cumsum(times) - times
+    item = part.items[np.repeat(lo - first, times) + np.arange(len(doc))]
+    n = len(part.least)
+    key, hits = np.unique(doc * n + item, return_counts=True)
+    doc, item = key // n, key % n
+    enough = hits >= part.least[item]
     return doc[enough], item[enough]
 
 
@@ -105,23 +121,19 @@ def leaked_passages(
         raise ValueError(f"over {MAX_ITEMS} test items, the documented bound of this operator")
     rows = [(i, t) for i, t in rows if len(normalise(t)) >= shingle]
     docs = documents.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id is not null and text is not null")
-    sketch = build_sketches(rows, shingle, SKETCH)
-    filter_bits = np.zeros(1 << 22, bool)
-    filter_bits[(sketch[0] >> np.uint64(8)) & np.uint64(len(filter_bits) - 1)] = True
-    top = sketch[0].max() if len(sketch[0]) else np.uint64(0)
-    shared = spark.sparkContext.broadcast((rows, sketch, filter_bits, top))  # bounded by MAX_ITEMS
+    numbers = np.array([i for i, _ in rows], np.int64)
+    shared = spark.sparkContext.broadcast((rows, build_partitions(rows, shingle)))  # bounded by MAX_ITEMS
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, found_in, bits, highest = shared.value
+        parts = shared.value[1]
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                flat, offsets = _batch(batch.column("text").to_pylist())
-                hashes, owner = window_hashes(flat, offsets, shingle)
-                d, k = _meet(hashes, owner, found_in, bits, highest)
-                ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-                numbers = np.array([i for i, _ in known], np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[d].astype(np.int64)), pa.array(numbers[k] if len(k) else np.empty(0, np.int64))], names=["doc_id", "item_id"])
+            texts = whole.column("text").to_pylist()
+            for at, stop in text_slices(texts, 1_000):
+                ids = whole.column("doc_id").slice(at, stop - at).to_numpy(zero_copy_only=False).astype(np.int64)
+                hashes, owner = window_hashes(*_batch(texts[at:stop]), shingle)
+                for part in parts:
+                    d, k = _meet(hashes, owner, part)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[d]), pa.array(numbers[k])], names=["doc_id", "item_id"])
 
     if not rows:
         return documents.sparkSession.createDataFrame([], "doc_id long, item_id long, contained double")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cliplake.llm.chars import code_points, mix, window_hashes
+from cliplake.llm.chars import code_points, mix, text_slices, window_hashes
 from cliplake.llm.components import components
 from cliplake.session import write_out
 
@@ -80,9 +80,10 @@ def fingerprint(texts: list[str], shingle: int = SHINGLE) -> tuple[np.ndarray, n
 def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
-                blocks, sketch = fingerprint(batch.column("text").to_pylist(), shingle)
+            texts = whole.column("text").to_pylist()
+            for at, stop in text_slices(texts):
+                batch = whole.slice(at, stop - at)
+                blocks, sketch = fingerprint(texts[at:stop], shingle)
                 ends = pa.array(np.arange(0, blocks.size + 1, BLOCKS, dtype=np.int32))
                 lists = pa.ListArray.from_arrays(ends, pa.array(blocks.ravel()))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("srch", "rec", "k1", "k2")), pa.array(sketch), lists], schema=_FP)

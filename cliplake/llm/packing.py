@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cliplake.llm.chars import mix
+from cliplake.llm.chars import mix, text_slices
 from cliplake.session import cut_lineage, table_partitions, write_out
 
 CAPACITY = 2_048
@@ -80,9 +80,10 @@ def _measure(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, table = load_tokenizer(tokenizer), projection()
         for whole in batches:
-            for at in range(0, whole.num_rows, 2_000):
-                batch = whole.slice(at, 2_000)
-                tokens = [encoder.encode_ordinary(t) for t in batch.column("text").to_pylist()]
+            texts = whole.column("text").to_pylist()
+            for at, stop in text_slices(texts):
+                batch = whole.slice(at, stop - at)
+                tokens = [encoder.encode_ordinary(t) for t in texts[at:stop]]
                 counts = np.fromiter(map(len, tokens), np.int64, len(tokens))
                 flat = np.fromiter((t for row in tokens for t in row), np.int64, int(counts.sum()))
                 spot = (mix(flat.astype(np.uint64)) & np.uint64(HASHED - 1)).astype(np.int64)

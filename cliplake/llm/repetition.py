@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cliplake.llm.chars import code_points, distinct_counts, window_hashes
+from cliplake.llm.chars import code_points, distinct_counts, text_slices, window_hashes
 from cliplake.session import write_out
 
 RULES = ("wide", "narrow", "sentences", "run", "top")
@@ -43,9 +43,9 @@ def sentence_share(text: str) -> tuple[float, int]:
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for at in range(0, whole.num_rows, 4000):
-            batch = whole.slice(at, 4000)
-            raw = [t or "" for t in batch.column("text").to_pylist()]
+        texts = [t or "" for t in whole.column("text").to_pylist()]
+        for at, stop in text_slices(texts):
+            batch, raw = whole.slice(at, stop - at), texts[at:stop]
             dense = ["".join(t.split()) for t in raw]
             flat, offsets = code_points(dense)
             n = np.diff(offsets)
