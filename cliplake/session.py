@@ -6,6 +6,7 @@ import atexit
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,9 +26,31 @@ def get_session(app: str = "cliplake", cores: str = "*", **conf: str) -> SparkSe
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the session's Python workers, wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="cliplake-")
+    archive = os.path.join(folder, "cliplake_package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for base, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(base, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)  # served by the driver: the executors need no folder of ours
+    _shipped.add(context.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder for checkpoints: the cluster's ``spark.checkpoint.dir`` if set, else a local one.
 
