@@ -22,7 +22,7 @@ _LABELLED = "entity string, period_start long, period_end long, n_rows long, gap
 
 
 def _fold_islands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sorted (pid, entity, s, e) rows to the partition's disjoint islands; state crosses batches."""
+    """Sorted (pid, entity, s, e, n) rows to the partition's disjoint islands; state crosses batches."""
     open_island = None  # (pid, entity, start, end, rows)
     for pdf in batches:
         if pdf.empty:
@@ -36,11 +36,11 @@ def _fold_islands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             entity = np.concatenate([np.array([open_island[1]], dtype=object), entity])
             start = np.concatenate([[open_island[2]], start])
             end = np.concatenate([[open_island[3]], end])
-            count = np.concatenate([[open_island[4]], np.ones(len(pdf), np.int64)])
+            count = np.concatenate([[open_island[4]], pdf["n"].to_numpy(np.int64)])
         else:
             if open_island is not None:
                 yield pd.DataFrame([open_island], columns=["pid", "entity", "isl_start", "isl_end", "n_rows"])
-            count = np.ones(len(pdf), np.int64)
+            count = pdf["n"].to_numpy(np.int64)
         fresh = np.ones(len(start), bool)
         fresh[1:] = entity[1:] != entity[:-1]
         group = np.cumsum(fresh) - 1
@@ -129,6 +129,8 @@ def _labelled_islands(df: DataFrame, entity: str, start: str, end: str, partitio
     rows = df.select(
         F.col(entity).cast("string").alias("entity"), F.col(start).cast("long").alias("s"), F.col(end).cast("long").alias("e")
     ).where("entity is not null and s is not null and e is not null and e > s")
+    # equal rows cannot be split by range: they are counted first, map-side
+    rows = rows.groupBy("entity", "s", "e").agg(F.count("*").alias("n"))
     ranged = rows.repartitionByRange(partitions or table_partitions(spark), "entity", "s", "e").sortWithinPartitions("entity", "s", "e")
     islands = cut_lineage(ranged.withColumn("pid", F.spark_partition_id()).mapInPandas(_fold_islands, _ISLANDS))
     last = F.max(F.struct("entity", "isl_start", "isl_end")).alias("x")
