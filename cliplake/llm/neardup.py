@@ -9,12 +9,13 @@ Exact copies are one text throughout and are expanded at the end only.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cliplake.llm.chars import code_points, mix, text_slices, window_hashes
@@ -110,6 +111,19 @@ def _verified(shingle: int, threshold: float):
     return run
 
 
+def _close(met: DataFrame) -> DataFrame:
+    """Pairs (srch, a, b) of a join of blocks whose sketches are close enough for the blocks that they share."""
+    distance = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sketch2")))
+    near = met.where((F.col("srch") == F.col("srch2")) & (distance <= MAX_SKETCH_DISTANCE))
+    a, b = F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")
+    pairs = near.groupBy("srch", a, b).agg(F.count("*").alias("shared"), F.min(distance).alias("distance"))
+    return pairs.where((F.col("shared") > 1) | (F.col("distance") <= MAX_LONE_DISTANCE)).select("srch", "a", "b")
+
+
+def _node(column: str) -> Column:
+    return F.concat(F.col("srch").cast("string"), F.lit(":"), F.lpad(F.col(column).cast("string"), 20, "0"))
+
+
 class NearDuplicates:
     """The near-duplicate links of ``records`` (src string, rec long, text string).
 
@@ -135,22 +149,22 @@ class NearDuplicates:
             .agg(F.min(F.struct("rec", "sketch", "blocks")).alias("x"), F.count("*").alias("copies"))
             .select("srch", "k1", "k2", F.col("x.rec").alias("rep"), "copies", F.col("x.sketch").alias("sketch"), F.col("x.blocks").alias("blocks"))
         )
-        self.links = write_out(self._links())
 
-    def _candidates(self) -> DataFrame:
-        one = self.texts.select("srch", "rep", "sketch", F.posexplode("blocks").alias("at", "block")).select(
+    @functools.cached_property
+    def links(self) -> DataFrame:
+        """All links between different texts, (srch, a, b) by representatives."""
+        one = self._blocks()
+        two = one.toDF("key2", "srch2", "rep2", "sketch2")
+        return write_out(self._verify(_close(one.join(two, (F.col("key") == F.col("key2")) & (F.col("rep") < F.col("rep2"))))))
+
+    def _blocks(self) -> DataFrame:
+        return self.texts.select("srch", "rep", "sketch", F.posexplode("blocks").alias("at", "block")).select(
             (F.xxhash64("srch", "at").bitwiseXOR(F.col("block").cast("long"))).alias("key"), "srch", "rep", "sketch"
         )
-        two = one.select(F.col("key").alias("key2"), F.col("srch").alias("srch2"), F.col("rep").alias("rep2"), F.col("sketch").alias("sketch2"))
-        distance = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sketch2")))
-        same = (F.col("key") == F.col("key2")) & (F.col("srch") == F.col("srch2")) & (F.col("rep") < F.col("rep2"))
-        met = one.join(two, same & (distance <= MAX_SKETCH_DISTANCE)).groupBy("srch", F.col("rep").alias("a"), F.col("rep2").alias("b"))
-        close = met.agg(F.count("*").alias("shared"), F.min(distance).alias("distance"))
-        return close.where((F.col("shared") > 1) | (F.col("distance") <= MAX_LONE_DISTANCE)).select("srch", "a", "b")
-
-    def _links(self) -> DataFrame:
-        """Links between different texts, (srch, a, b) by representatives, verified exactly."""
-        found = write_out(self._candidates())
+
+    def _verify(self, candidates: DataFrame) -> DataFrame:
+        """The candidate pairs (srch, a, b) of representatives whose texts are similar enough."""
+        found = write_out(candidates)
         slot = F.pmod(F.xxhash64("srch", "rec"), F.lit(SLOTS))
         needed = found.select("srch", F.explode(F.array("a", "b")).alias("rec")).select(slot.alias("slot"))
         words = needed.groupBy(F.shiftright("slot", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 64 AS INT))) AS bits"))
@@ -180,18 +194,45 @@ class NearDuplicates:
         out = links.join(ma, ["srch", "a"]).join(mb, ["srch", "b"]).where("a <> b or ra < rb")
         return out.select("src", F.least("ra", "rb").alias("rec_a"), F.greatest("ra", "rb").alias("rec_b")).where("rec_a < rec_b").distinct()
 
-    def groups(self) -> DataFrame:
-        """One row per linked record: (src, rec, group_id, n_links); group_id is the group's smallest rec.
+    def group_links(self) -> DataFrame:
+        """Links (srch, a, b) that connect the same texts as all links do, without all pairs of a block.
 
-        ``n_links`` counts the records, copies included, that the record is linked to.
+        Every text is held against the first of each of its blocks; only blocks in which texts of different
+        components are left are then joined, across components. A large group whose texts resemble their first
+        costs as many pairs as it has texts and blocks.
         """
+        one = self._blocks()
+        head = one.groupBy("key").agg(F.min(F.struct("rep", "srch", "sketch")).alias("h"))
+        heads = head.select(F.col("key").alias("key2"), F.col("h.srch").alias("srch2"), F.col("h.rep").alias("rep2"), F.col("h.sketch").alias("sketch2"))
+        star = write_out(self._verify(_close(one.join(heads, (F.col("key") == F.col("key2")) & (F.col("rep") != F.col("rep2"))))))
+        found = components(star.select(_node("a").alias("a"), _node("b").alias("b")))
+        known = self.texts.select("srch", "rep", _node("rep").alias("node")).join(found, "node", "left")
+        labelled = write_out(known.select("srch", "rep", F.xxhash64(F.coalesce("component", "node")).alias("comp")))
+        rows = one.join(labelled, ["srch", "rep"])
+        mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+        left = rows.join(mixed, "key").select("key", "srch", "rep", "sketch", "comp")
+        right = left.toDF("key2", "srch2", "rep2", "sketch2", "comp2")
+        across = left.join(right, (F.col("key") == F.col("key2")) & (F.col("rep") < F.col("rep2")) & (F.col("comp") != F.col("comp2")))
+        return write_out(star.union(self._verify(_close(across))))
+
+    def _grouped(self, links: DataFrame) -> DataFrame:
+        """(src, srch, rec, rep, copies, group_id) of every record of a link or of a text with copies."""
         members = self._members().select("src", "srch", "rep", "rec").distinct()
         copies = members.groupBy("srch", "rep").agg(F.count("*").alias("copies"))
+        found = components(links.select(_node("a").alias("a"), _node("b").alias("b")))
+        rows = members.join(copies, ["srch", "rep"]).withColumn("node", _node("rep")).join(found, "node", "left")
+        group = F.split(F.coalesce("component", "node"), ":")[1].cast("long").alias("group_id")
+        return rows.where("copies > 1 or component is not null").select("src", "srch", "rec", "rep", "copies", group)
+
+    def groups(self) -> DataFrame:
+        """One row per linked record: (src, rec, group_id); group_id is the group's smallest rec."""
+        return self._grouped(self.group_links()).select("src", "rec", "group_id")
+
+    def link_counts(self) -> DataFrame:
+        """As :meth:`groups`, with n_links: the number of records, copies included, that a record is linked to."""
+        rows = write_out(self._grouped(self.links))
+        copies = rows.select("srch", F.col("rep").alias("b"), "copies").distinct()
         both = self.links.union(self.links.select("srch", F.col("b").alias("a"), F.col("a").alias("b")))
-        partner = both.join(copies.toDF("srch", "b", "n"), ["srch", "b"]).groupBy("srch", F.col("a").alias("rep")).agg(F.sum("n").alias("beside"))
-        name = lambda c: F.concat(F.col("srch").cast("string"), F.lit(":"), F.lpad(F.col(c).cast("string"), 20, "0"))
-        found = components(self.links.select(name("a").alias("a"), name("b").alias("b")))
-        rows = members.join(copies, ["srch", "rep"]).withColumn("node", name("rep")).join(partner, ["srch", "rep"], "left").join(found, "node", "left")
-        rows = rows.where("copies > 1 or beside is not null").withColumn("class", F.coalesce("component", "node"))
-        group = F.split("class", ":")[1].cast("long").alias("group_id")
-        return rows.select("src", "rec", group, (F.coalesce("beside", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        beside = both.join(copies, ["srch", "b"]).groupBy("srch", F.col("a").alias("rep")).agg(F.sum("copies").alias("beside"))
+        counted = rows.join(beside, ["srch", "rep"], "left")
+        return counted.select("src", "rec", "group_id", (F.coalesce("beside", F.lit(0)) + F.col("copies") - 1).alias("n_links"))

@@ -61,6 +61,10 @@ def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return NearDuplicates(_described(spark, sf_dir, "current_clip")).groups()
 
 
+def p3_link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return NearDuplicates(_described(spark, sf_dir, "current_clip")).link_counts()
+
+
 def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(read_table(spark, sf_dir, "clip_descriptions_copy"), "row_id", "description")
 
@@ -154,6 +158,7 @@ QUERIES = {
     "p2_turns": p2_turns,
     "p3_found": p3_found,
     "p3_groups": p3_groups,
+    "p3_link_counts": p3_link_counts,
     "p4_found": p4_found,
     "p4_repetition": p4_repetition,
     "p5_found": p5_found,

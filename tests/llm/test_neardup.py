@@ -53,18 +53,38 @@ def test_pairs_equal_brute_force(spark, seed):
     got = [tuple(r) for r in found.pairs().collect()]
     wanted = pairs(rows)
     assert len(got) == len(set(got)) and set(got) == wanted
-    groups = {(r.src, r.rec): r for r in found.groups().collect()}
-    degree = Counter()
+    degree, parent = Counter(), {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
     for s, a, b in wanted:
         degree[s, a] += 1
         degree[s, b] += 1
-        assert groups[s, a].group_id == groups[s, b].group_id
-    assert {k: r.n_links for k, r in groups.items()} == dict(degree)
+        x, y = find((s, a)), find((s, b))
+        parent[max(x, y)] = min(x, y)
+    counts = {(r.src, r.rec): r for r in found.link_counts().collect()}
+    assert {k: r.n_links for k, r in counts.items()} == dict(degree)
+    groups = {(r.src, r.rec): r.group_id for r in found.groups().collect()}
+    assert groups == {k: find(k)[1] for k in parent} == {k: r.group_id for k, r in counts.items()}
+
+
+def test_dense_group_of_different_texts(spark):
+    rng = random.Random(9)
+    base = " ".join(rng.choice(WORDS) for _ in range(80))
+    rows = [("clip", k, base + f" {k:04d}", 0, 0) for k in range(400)] + [("clip", 1000 + k, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400)), 0, 0) for k in range(50)]
+    found = NearDuplicates(spark.createDataFrame(rows, DDL))
+    groups = {r.rec: r.group_id for r in found.groups().collect()}
+    assert groups == {k: 0 for k in range(400)}
+    assert found.group_links().count() < 400 * 10
 
 
 def test_empty_table(spark):
     found = NearDuplicates(spark.createDataFrame([], DDL))
-    assert found.pairs().count() == 0 and found.groups().count() == 0
+    assert found.pairs().count() == 0 and found.groups().count() == 0 and found.link_counts().count() == 0
 
 
 def test_recall_at_the_threshold():
