@@ -91,10 +91,13 @@ def _meet(hashes: np.ndarray, owner: np.ndarray, part: Partition) -> tuple[np.nd
     """(document, item) index pairs of a batch whose hits reach the least number of the item's sketch."""
     kept = hashes <= part.top  # the documents' own MinHash values
     kept &= part.filter[(hashes >> np.uint64(3)) & np.uint64(len(part.filter) - 1)]
-    pair = np.unique(np.stack([owner[kept].astype(np.uint64), hashes[kept]]), axis=1)
-    docs, values = pair[0].astype(np.int64), pair[1]
-    lo, hi = np.searchsorted(part.hashes, values, "left"), np.searchsorted(part.hashes, values, "right")
-    times = hi - lo
+    owner, hashes = owner[kept], hashes[kept]
+    lo = np.searchsorted(part.hashes, hashes, "left")
+    met = part.hashes[np.minimum(lo, len(part.hashes) - 1)] == hashes
+    # a document meets each sketch value once
+    once = np.unique(owner[met] * len(part.hashes) + lo[met])
+    docs, lo = once // len(part.hashes), once % len(part.hashes)
+    times = np.searchsorted(part.hashes, part.hashes[lo], "right") - lo
     doc = np.repeat(docs, times)
     first = np.cumsum(times) - times
     item = part.items[np.repeat(lo - first, times) + np.arange(len(doc))]
