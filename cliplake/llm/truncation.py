@@ -173,9 +173,11 @@ def truncated(records: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     )
     total = rows.count()
     share = min(1.0, 2 * sample_rows / max(total, 1))
-    picked = rows.where(F.pmod(F.xxhash64("src", "rec"), F.lit(1_000_000)) < int(share * 1_000_000) + 1).select("src", "rec", "text")
-    sample = sorted((r.src or "", r.rec if r.rec is not None else -1, r.text) for r in picked.limit(2 * sample_rows).collect())
-    weights = fit(make_examples([t for *_, t in sample[:sample_rows]]))
+    placed = rows.select("src", "rec", "text", F.xxhash64("src", "rec").alias("place"))
+    picked = placed.where(F.pmod("place", F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    # in hash order, so that every source and file has its share of the sample
+    sample = picked.orderBy("place", "src", "rec", "text").limit(sample_rows).collect()
+    weights = fit(make_examples([r.text for r in sample]))
     shared = spark.sparkContext.broadcast(weights)  # 4 MB, fixed by BITS
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
