@@ -150,9 +150,10 @@ def delete_plan(s: SparkSession, d: str) -> DataFrame:
     return plan_deletes(rows, _answers(s, d).where("lang is not null").select("path"))
 
 
-def _responses(s: SparkSession, d: str, loose: bool) -> DataFrame:
+def _responses(s: SparkSession, d: str, loose: bool, labelled: bool = False) -> DataFrame:
+    """Responses made of the non-blank pairs; unless ``labelled``, of those without a label in them only."""
     rows = read_table(s, d, "clip_qa_pairs").where(~T.is_blank("question") & ~T.is_blank("answer"))
-    for c in ("question", "answer"):
+    for c in () if labelled else ("question", "answer"):
         rows = rows.where(~F.col(c).rlike(r"问题?\s*\d*\s*[：:]|答案?\s*\d*\s*[：:]|[QA]\s*[：:]"))
     q, a = F.col("question"), F.col("answer")
     if loose:
@@ -173,6 +174,14 @@ def qa_parse_loose(s: SparkSession, d: str) -> DataFrame:
     return _parsed(_responses(s, d, True))
 
 
+def qa_parse_numbered_whole(s: SparkSession, d: str) -> DataFrame:
+    return _parsed(_responses(s, d, False, labelled=True))
+
+
+def qa_parse_loose_whole(s: SparkSession, d: str) -> DataFrame:
+    return _parsed(_responses(s, d, True, labelled=True))
+
+
 def json_field_scan(s: SparkSession, d: str) -> DataFrame:
     value = F.try_variant_get(F.try_parse_json("props"), "$.k", "long")
     return read_table(s, d, "events").select("event_id", value.alias("k")).groupBy("k").agg(F.count("*").alias("n_events"))
@@ -204,7 +213,7 @@ def file_suffixes(s: SparkSession, d: str) -> DataFrame:
 _NAMES = (
     strip_unicode, truncate_ends, placeholder_fallback, round_exact, cue_seconds, word_tokens_rle, word_timing, nested_sum, greedy_segments, segment_rate_filter, contiguous_tiling,
     overlap_windows, frame_plan, dense_ordinal, stride_shard, shuffle_seeded, union_ordered, prefix_limit, group_limit, verdict_parse, verdict_tally, delete_plan, qa_parse_numbered,
-    qa_parse_loose, json_field_scan, type_audit, type_audit_first, file_suffixes,
+    qa_parse_loose, qa_parse_numbered_whole, qa_parse_loose_whole, json_field_scan, type_audit, type_audit_first, file_suffixes,
 )
 QUERIES = {f.__name__: f for f in _NAMES}
 
@@ -230,6 +239,36 @@ _SEG = """WITH RECURSIVE ev AS (SELECT user_id, event_id, CAST(floor(epoch_us(ts
 """
 _RESPONSES = f"""resp AS (SELECT qa_id, question, answer FROM clip_qa_pairs WHERE coalesce({sql_strip("question")}, '') <> '' AND coalesce({sql_strip("answer")}, '') <> ''
  AND NOT regexp_matches(question, '问题?\\s*\\d*\\s*[：:]|答案?\\s*\\d*\\s*[：:]|[QA]\\s*[：:]') AND NOT regexp_matches(answer, '问题?\\s*\\d*\\s*[：:]|答案?\\s*\\d*\\s*[：:]|[QA]\\s*[：:]'))"""
+
+
+def _parse_sql(response: str) -> str:
+    """The label parser over all non-blank pairs. A mark set before each label stands for the lookahead that RE2 lacks."""
+    mark = lambda labels: f"regexp_replace(t, '{labels}', chr(1) || '\\0', 'g')"
+    body = f"{W}*(\\x01?[^\\x01]+)"
+    q, a = f"(?:问|Q)题?{W}*[：:]", f"(?:答|A)案?{W}*[：:]"
+
+    def numbered(side: str, label: str) -> str:
+        found = lambda n: f"unnest(regexp_extract_all(t, '{label}{W}*(\\p{{Nd}}+){W}*[：:]{body}', {n}))"
+        bare = sql_strip("replace(b, chr(1), '')")
+        return f"""{side} AS (SELECT k, n, arg_max({bare}, i) AS {side} FROM (SELECT k, TRY_CAST(translate(d, '０１２３４５６７８９', '0123456789') AS BIGINT) AS n, b, i
+   FROM (SELECT k, {found(1)} AS d, {found(2)} AS b, generate_subscripts(regexp_extract_all(t, '{label}{W}*(\\p{{Nd}}+){W}*[：:]{body}', 1), 1) AS i FROM marked)) WHERE n IS NOT NULL GROUP BY k, n)"""
+
+    def loose(side: str, label: str, other: str) -> str:
+        found = f"regexp_extract_all({mark(other)}, '{label}{body}', 1)"
+        bare = sql_strip("replace(b, chr(1), '')")
+        return f"{side} AS (SELECT k, n, {bare} AS {side} FROM (SELECT k, unnest({found}) AS b, generate_subscripts({found}, 1) AS n FROM resp))"
+
+    return f"""WITH resp AS MATERIALIZED (SELECT row_number() OVER () AS k, qa_id, {response} AS t FROM clip_qa_pairs
+   WHERE coalesce({sql_strip("question")}, '') <> '' AND coalesce({sql_strip("answer")}, '') <> ''),
+ marked AS (SELECT k, {mark(f"(?:问题|答案){W}*\\p{{Nd}}+{W}*[：:]")} AS t FROM resp),
+ {numbered("nq", "问题")}, {numbered("na", "答案")}, {loose("lq", q, a)}, {loose("la", a, q)},
+ first AS (SELECT k, n, nq AS question, na AS answer FROM nq JOIN na USING (k, n) WHERE nq <> '' AND na <> ''),
+ found AS (SELECT * FROM first UNION ALL SELECT k, n, lq, la FROM lq JOIN la USING (k, n) WHERE lq <> '' AND la <> '' AND k NOT IN (SELECT k FROM first))
+SELECT qa_id, CAST(row_number() OVER (PARTITION BY k ORDER BY n) - 1 AS INTEGER) AS at, found.question, found.answer FROM found JOIN resp USING (k)"""
+
+
+_NUMBERED_RESPONSE = "'问题2：' || question || chr(10) || '答案2：' || answer || chr(10) || '问题1:第一' || chr(10) || '答案 1 : ' || answer || chr(10) || '问题3：' || question"
+_LOOSE_RESPONSE = "'问：' || question || chr(10) || '答：' || answer || chr(10) || 'Q: ' || question || chr(10)"
 _TYPED = "typed AS (SELECT event_id, event_id % 6 IN (4, 5) AS is_bad FROM events)"
 
 SQL = {
@@ -265,6 +304,8 @@ SQL = {
     "delete_plan": f"WITH {_ANSWERS} SELECT path, regexp_replace(path, '\\.mp4$', '.json') AS sidecar, lang IS NOT NULL AS exists FROM answers WHERE contains({_HEAD}, '{V.DENIAL}')",
     "qa_parse_numbered": f"WITH {_RESPONSES} SELECT qa_id, 0 AS at, '第一' AS question, {sql_strip('answer')} AS answer FROM resp UNION ALL SELECT qa_id, 1, {sql_strip('question')}, {sql_strip('answer')} FROM resp",
     "qa_parse_loose": f"WITH {_RESPONSES} SELECT qa_id, 0 AS at, {sql_strip('question')} AS question, {sql_strip('answer')} AS answer FROM resp",
+    "qa_parse_numbered_whole": _parse_sql(_NUMBERED_RESPONSE),
+    "qa_parse_loose_whole": _parse_sql(_LOOSE_RESPONSE),
     "json_field_scan": "SELECT TRY_CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS n_events FROM events GROUP BY 1",
     "type_audit": f"WITH {_TYPED} SELECT is_bad, count(*) AS n_rows, min(event_id) AS first_id FROM typed GROUP BY 1",
     "type_audit_first": f"WITH {_TYPED} SELECT event_id FROM typed WHERE is_bad ORDER BY event_id LIMIT 50",
