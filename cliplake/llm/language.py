@@ -281,8 +281,9 @@ def language_segments(documents: DataFrame, doc: str, text: str, label: str, sam
     ).where(F.col("text").rlike(r"(?U)[^\s\x1c-\x1f]"))
     total = rows.count()
     share = min(1.0, 2 * sample_rows / max(total, 1))
-    picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    picked = picked.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text", "label").limit(sample_rows)
+    placed = rows.select("doc_id", "text", "label", F.xxhash64("doc_id").alias("place"))
+    picked = placed.where(F.pmod("place", F.lit(1_000_000)) < int(share * 1_000_000) + 1).where(F.length("text") <= SAMPLE_CHARS)
+    picked = picked.orderBy("place", "doc_id", "text", "label").limit(sample_rows)  # in hash order: from the whole table
     sample = sorted((r.doc_id if r.doc_id is not None else -1, r.text, r.label or "") for r in picked.collect())
     shared = documents.sparkSession.sparkContext.broadcast(train([t for _, t, _ in sample], [x for *_, x in sample]))
 

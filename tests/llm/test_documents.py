@@ -167,6 +167,14 @@ def test_languages_of_whole_and_mixed_documents(spark):
     assert L.language_segments(docs(spark, []), "doc_id", "text", "lang").count() == 0
 
 
+def test_language_sample_is_of_the_whole_table(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(L, "train", lambda texts, labels, make=L.train: seen.extend(labels) or make(texts, labels))
+    rows = [(k, " ".join(SENTENCES[lang]), lang) for k, lang in enumerate(x for x in SENTENCES for _ in range(60))]
+    assert L.language_segments(docs(spark, rows), "doc_id", "text", "lang", sample_rows=90).count() > 0
+    assert len(seen) == 90 and all(seen.count(lang) >= 3 for lang in SENTENCES)
+
+
 @pytest.mark.parametrize(("label", "lang"), [("zh-CN", "zh"), ("EN_us", "en"), ("ger", "de"), ("und", None), ("", None), (None, None), ("??", None), (" ja ", "ja")])
 def test_declared_language(label, lang):
     assert L.declared(label) == lang
