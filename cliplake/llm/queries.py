@@ -70,8 +70,8 @@ def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # candidates by posterior, low enough to keep whatever a rule speaks for; the exact check follows
-    likely = _repeats(spark, sf_dir).where("posterior >= 0.01")
+    # candidates by posterior, and whatever the wide rule speaks for at any posterior; the exact check follows
+    likely = _repeats(spark, sf_dir).where("posterior >= 0.01 or wide = 1")
     return likely.where("n_chars >= 40 and repeat_share >= 0.25").select(F.col("rec").alias("row_id")).distinct()
 
 

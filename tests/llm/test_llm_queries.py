@@ -67,3 +67,10 @@ def test_p9_found(spark, data):
 @pytest.mark.parametrize("name", [n for n in R.QUERIES if n not in R.SQL and n not in ("p1_found", "p3_found", "p9_found")])
 def test_query_runs(spark, data, name):
     assert R.QUERIES[name](spark, data).count() >= 0
+
+
+def test_p4_found_keeps_repeated_texts_of_any_posterior(spark, data, monkeypatch):
+    made = [(1, 90, 0.3, 0.0, 1, 0, -1, 0, 0, 0.0042), (2, 90, 0.2, 0.0, 0, 0, -1, 0, 0, 0.0042), (3, 39, 0.3, 0.0, 0, 0, 0, 0, 0, 0.1)]
+    names = "rec long, n_chars long, repeat_share double, sentence_share double, wide int, narrow int, sentences int, run int, top int, posterior double"
+    monkeypatch.setattr(R, "_repeats", lambda s, d: s.createDataFrame(made, names))
+    assert [r.row_id for r in R.p4_found(spark, data).collect()] == [1]
