@@ -77,7 +77,7 @@ def features(text: str, at_limit: int) -> list[int]:
         names.append(f"p:{pair}")
         names.append(f"n{min(len(last), 6)}")
         for a, b in ("（）", "()", "“”", "《》", "【】"):
-            if rest[-200:].count(a) > rest[-200:].count(b) and not (rest[:1] == a):
+            if rest.count(a) > rest.count(b) and not (rest[:1] == a):
                 names.append(f"d{a}")
     mask = (1 << BITS) - 1
     return [zlib.crc32(x.encode("utf-8", "surrogatepass")) & mask for x in names]
