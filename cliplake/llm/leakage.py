@@ -116,7 +116,11 @@ def leaked_passages(
     Shingles are the distinct substrings of ``shingle`` characters of the normalised text. Null or too short
     texts and items match nothing; null ids are left out; repeated rows give one row per id. Empty tables
     give no rows. The items are a bounded table of at most MAX_ITEMS rows (more raise an error).
+
+    The candidate step is made for a containment of 0.4 or more; a lower one is an error.
     """
+    if containment < CONTAINMENT:
+        raise ValueError(f"containment {containment} is below {CONTAINMENT}, for which the sketches are made")
     spark = documents.sparkSession
     wanted = items.select(F.col(item).cast("long").alias("i"), F.col(item_text).cast("string").alias("t")).where("i is not null and t is not null")
     rows = sorted((r.i, r.t) for r in wanted.distinct().limit(MAX_ITEMS + 1).collect())

@@ -130,6 +130,7 @@ class NearDuplicates:
     Texts are compared within a ``src``, with all white space dropped. Records with a null src, rec or text,
     or with fewer than ``min_chars`` characters then, have no link. Exact copies are linked to each other.
     A repeated (src, rec) with the same text counts once. Empty tables give no rows.
+    The blocks are made for a ``threshold`` of 0.7 or more; a lower one is an error.
     """
 
     def __init__(self, records: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD, min_chars: int = MIN_CHARS):
@@ -142,6 +143,8 @@ class NearDuplicates:
             "src", F.hash("src").alias("srch"), "rec", "text",
             F.xxhash64(F.lit(1), "text").alias("k1"), F.xxhash64(F.lit(2), "text").alias("k2"),
         )
+        if threshold < THRESHOLD:
+            raise ValueError(f"threshold {threshold} is below {THRESHOLD}, for which the blocks and sketches are made")
         self._shingle, self._threshold = shingle, threshold
         fp = self._rows.select("srch", "rec", "k1", "k2", "text").mapInArrow(_fingerprints(shingle), _FP_DDL)
         self.texts = write_out(

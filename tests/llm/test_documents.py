@@ -71,6 +71,11 @@ def test_item_bound(spark, monkeypatch):
         K.leaked_passages(docs(spark, []), "doc_id", "text", test, "item_id", "text")
 
 
+def test_containment_below_what_the_sketches_are_made_for(spark):
+    with pytest.raises(ValueError):
+        K.leaked_passages(docs(spark, []), "doc_id", "text", spark.createDataFrame([], ITEMS), "item_id", "text", containment=0.15)
+
+
 def test_hilbert_neighbours_touch():
     for bits, d in ((3, 2), (2, 3)):
         side = 1 << bits

@@ -138,3 +138,8 @@ def test_sentence_share_and_votes():
     assert sentence_share("走。走。打！") == (pytest.approx(1 / 3), 3) and sentence_share("") == (0.0, 0)
     post = fit_votes(np.array([[1, 1, 1, 1, 1], [1, 0, 0, 0, 0], [-1, -1, -1, 0, 0], [0, 0, 0, 0, 0]]), np.array([30.0, 5, 900, 20]))
     assert post[0] > 0.99 and post[1] > 0.5 and post[2] < 0.01
+
+
+def test_threshold_below_what_the_blocks_are_made_for(spark):
+    with pytest.raises(ValueError):
+        NearDuplicates(spark.createDataFrame([], DDL), threshold=0.5)
