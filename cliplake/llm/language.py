@@ -2,9 +2,10 @@
 
 Every letter has a fixed random vector of +-1; a trigram is the product of its letters' vectors permuted by
 position, a single letter its own vector; texts and languages are bundles (sums) of their n-grams, compared
-by cosine. As the inner product is linear, each n-gram's product with the language prototypes is computed
-once from its vector and a text's products are sums of them. Prototypes are trained on a bounded sample:
-sentences of documents take the document's label first, and then, in a few rounds, the nearest prototype.
+by cosine. As the inner product is linear, a text's product with a prototype is the sum of its n-grams'
+products, each made from the n-gram's vector, whether training saw it or not. The prototypes start from a few
+plain sentences per language, which tell the languages apart on their own; a bounded sample of the documents
+then refines them in a few rounds, its labels being no more than a weak hint.
 """
 
 from __future__ import annotations
@@ -22,36 +23,46 @@ from cliplake.llm.chars import code_points, mix, text_slices
 
 LANGUAGES = ("zh", "en", "ja", "ko", "ru", "es", "pt", "de", "fr")
 DIMENSIONS = 4096
-#: Bounds of the training sample and of the trigram table.
+#: Bounds of the training sample.
 SAMPLE_ROWS = 4_000
 SAMPLE_CHARS = 20_000  # longer documents are not picked for the sample
-MAX_TRIGRAMS = 60_000
-SLOT_BITS = 20
-SHRINK = 100_000
-RELABEL = 0.15  # margin beyond which a training sentence changes from its document's label
+#: Slots of a worker's cache of n-gram products; what is not in it is made anew, so its size changes no result.
+CACHE_BITS = 20
+SMOOTHING = 0.25  # pseudo-use of each n-gram, as a share of the mean use of a language's n-grams
+LABEL_HINT = 0.1  # what a document's label adds to its language's mean cosine in training
+RELABEL = 0.15  # margin beyond which a training sentence has a language of its own
 FIRST_ALONE = 0x370  # letters from here on also count alone; Latin ones are shared by too many languages
 LEAST_LETTERS = 12
 LEAST_WIDE = 5
 MARGIN = 0.04
+# a marked sentence below those sizes is sure only by a wider margin
+SHORT_LETTERS, SHORT_WIDE, SHORT_MARGIN = 5, 3, 0.1
 
 #: Language names beside the two-letter codes, fixed values of the ISO 639 code lists.
 CODES = {
     "zho": "zh", "chi": "zh", "cmn": "zh", "eng": "en", "jpn": "ja", "kor": "ko", "rus": "ru", "spa": "es", "por": "pt", "deu": "de", "ger": "de", "fra": "fr", "fre": "fr",
 }
 
-# A few plain sentences per language, so that each has a prototype even where no label names it.
+# Plain sentences per language from which the prototypes start. The five Latin-script languages need some
+# hundred words each to be told apart by them alone; the others are known by their letters.
 SEEDS = {
     "zh": "我们今天要讨论这个问题，因为很多人都在问应该怎么做。他们已经到了那里，但是没有看到任何人。如果你有时间，请先看看这个地图，然后再选择位置。",
-    "en": "We want to talk about this question today because many people have asked what they should do. They went there but did not see anyone. If you have time, look at the map first and then choose the position.",
+    "en": "We want to talk about this question today because many people have asked what they should do. They went there but did not see anyone. If you have time, look at the map first and then choose the position."
+    " This is not the first time that it has happened, and it will not be the last. Both of them were there before, but now they are on the other side. You can see that the door was left open while someone was waiting behind it. Which of these would be better for the rest of the team? When the others come back, we should tell them what we know about it. She does not think so, because there is nothing more to say. If he had known this earlier, he would have stayed with his friends and tried again from another way. After that, each player takes only one thing and keeps it until the end of the game.",
     "ja": "今日はこの問題について話したいと思います。多くの人がどうすればいいかを聞いているからです。彼らはそこに行きましたが、誰も見ませんでした。時間があれば、まず地図を見てから場所を選んでください。",
     "ko": "오늘은 이 문제에 대해 이야기하려고 합니다. 많은 사람들이 어떻게 해야 하는지 물었기 때문입니다. 그들은 그곳에 갔지만 아무도 보지 못했다. 시간이 있으면 먼저 지도를 보고 위치를 고르세요.",
     "ru": "Сегодня мы хотим поговорить об этом вопросе, потому что многие люди спрашивали, что им делать. Они пришли туда, но никого не увидели. Если у вас есть время, сначала посмотрите на карту, а потом выберите место.",
-    "es": "Hoy queremos hablar de esta cuestión porque muchas personas han preguntado qué deberían hacer. Fueron allí pero no vieron a nadie. Si tienes tiempo, mira primero el mapa y después elige la posición. Los jugadores no saben cuándo llega el enemigo.",
-    "pt": "Hoje queremos falar sobre esta questão porque muitas pessoas perguntaram o que deveriam fazer. Eles foram até lá mas não viram ninguém. Se você tiver tempo, olhe primeiro o mapa e depois escolha a posição. Os jogadores não sabem quando chega o inimigo.",
-    "de": "Heute wollen wir über diese Frage sprechen, weil viele Leute gefragt haben, was sie tun sollen. Sie gingen dorthin, aber sie sahen niemanden. Wenn du Zeit hast, schau dir zuerst die Karte an und wähle dann die Stellung. Die Spieler wissen nicht, wann der Gegner kommt.",
-    "fr": "Aujourd'hui nous voulons parler de cette question parce que beaucoup de gens ont demandé ce qu'ils devraient faire. Ils y sont allés mais ils n'ont vu personne. Si tu as le temps, regarde d'abord la carte et choisis ensuite la position. Les joueurs ne savent pas quand l'ennemi arrive.",
+    "es": "Hoy queremos hablar de esta cuestión porque muchas personas han preguntado qué deberían hacer. Fueron allí pero no vieron a nadie. Si tienes tiempo, mira primero el mapa y después elige la posición. Los jugadores no saben cuándo llega el enemigo."
+    " Esta no es la primera vez que pasa, y tampoco será la última. Los dos estaban allí antes, pero ahora están al otro lado. Se puede ver que la puerta quedó abierta mientras alguien esperaba detrás de ella. ¿Cuál de estas sería mejor para el resto del equipo? Cuando vuelvan los otros, tenemos que decirles lo que sabemos de esto. Ella no lo cree así, porque ya no hay nada más que decir. Si él lo hubiera sabido antes, se habría quedado con sus amigos y lo habría intentado otra vez por otro camino. Después de eso, cada jugador toma solo una cosa y la guarda hasta el final del juego.",
+    "pt": "Hoje queremos falar sobre esta questão porque muitas pessoas perguntaram o que deveriam fazer. Eles foram até lá mas não viram ninguém. Se você tiver tempo, olhe primeiro o mapa e depois escolha a posição. Os jogadores não sabem quando chega o inimigo."
+    " Esta não é a primeira vez que isso acontece, e também não será a última. Os dois estavam lá antes, mas agora estão do outro lado. Dá para ver que a porta ficou aberta enquanto alguém esperava atrás dela. Qual destas seria melhor para o resto da equipe? Quando os outros voltarem, temos de lhes dizer o que sabemos sobre isso. Ela não pensa assim, porque já não há mais nada a dizer. Se ele tivesse sabido disso antes, teria ficado com os seus amigos e tentado outra vez por outro caminho. Depois disso, cada jogador pega apenas uma coisa e guarda-a até ao fim do jogo.",
+    "de": "Heute wollen wir über diese Frage sprechen, weil viele Leute gefragt haben, was sie tun sollen. Sie gingen dorthin, aber sie sahen niemanden. Wenn du Zeit hast, schau dir zuerst die Karte an und wähle dann die Stellung. Die Spieler wissen nicht, wann der Gegner kommt."
+    " Das ist nicht das erste Mal, dass es passiert, und es wird auch nicht das letzte Mal sein. Die beiden waren schon vorher da, aber jetzt sind sie auf der anderen Seite. Man kann sehen, dass die Tür offen blieb, während jemand hinter ihr wartete. Welche davon wäre besser für den Rest der Mannschaft? Wenn die anderen zurückkommen, müssen wir ihnen sagen, was wir darüber wissen. Sie glaubt das nicht, weil es nichts mehr zu sagen gibt. Hätte er das früher gewusst, wäre er bei seinen Freunden geblieben und hätte es noch einmal auf einem anderen Weg versucht. Danach nimmt jeder Spieler nur eine Sache und behält sie bis zum Ende des Spiels.",
+    "fr": "Aujourd'hui nous voulons parler de cette question parce que beaucoup de gens ont demandé ce qu'ils devraient faire. Ils y sont allés mais ils n'ont vu personne. Si tu as le temps, regarde d'abord la carte et choisis ensuite la position. Les joueurs ne savent pas quand l'ennemi arrive."
+    " Ce n'est pas la première fois que cela arrive, et ce ne sera pas non plus la dernière. Les deux étaient déjà là avant, mais maintenant ils sont de l'autre côté. On peut voir que la porte est restée ouverte pendant que quelqu'un attendait derrière elle. Laquelle de celles-ci serait la meilleure pour le reste de l'équipe ? Quand les autres reviendront, nous devrons leur dire ce que nous en savons. Elle ne le croit pas, parce qu'il n'y a plus rien à dire. S'il l'avait su plus tôt, il serait resté avec ses amis et aurait essayé encore une fois par un autre chemin. Après cela, chaque joueur ne prend qu'une seule chose et la garde jusqu'à la fin du jeu.",
 }
 
+EMPTY = np.uint64((1 << 64) - 1)
 _FOLD: np.ndarray | None = None
 _MARKS = np.array([ord(c) for c in "。！？!?…；．"], np.uint32)
 
@@ -85,7 +96,7 @@ def trigram_vectors(codes: np.ndarray) -> np.ndarray:
 
 
 class Grams:
-    """The letters and trigrams of a batch of texts, by sentence."""
+    """The n-grams of a batch of texts, by sentence: trigrams, and letters that tell a script."""
 
     def __init__(self, texts: list[str]):
         flat, offsets = code_points(texts)
@@ -120,61 +131,94 @@ class Grams:
             # Latin names inside a sentence of wide letters say nothing of its language
             named = (self.wide * 3 > self.letters - self.wide)[self.of[:-2]] & (self.letter[1:-1] < FIRST_ALONE)
             whole &= ~named
-            self.codes, self.code_of = codes[whole], self.of[:-2][whole]
+            codes, code_of = codes[whole], self.of[:-2][whole]
         else:
-            self.codes, self.code_of = np.empty(0, np.uint64), np.empty(0, np.int64)
+            codes, code_of = np.empty(0, np.uint64), np.empty(0, np.int64)
+        single = self.letter >= FIRST_ALONE
+        self.codes = np.concatenate([codes, self.letter[single]])
+        self.code_of = np.concatenate([code_of, self.of[single]])
+
+    def squares(self) -> np.ndarray:
+        """The squared length of each sentence's bundle over DIMENSIONS: an n-gram that occurs k times counts k * k.
+
+        Different n-grams' vectors are orthogonal up to 1 / sqrt(DIMENSIONS), which leaves a length right to about 2 %.
+        """
+        if not len(self.codes):
+            return np.zeros(self.count)
+        bits = np.uint64(max(1, int(self.count - 1).bit_length()))
+        key = np.sort((self.code_of.astype(np.uint64) << (np.uint64(64) - bits)) | (mix(self.codes) >> bits))
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        times = np.diff(np.append(start, len(key)))
+        return np.bincount((key[start] >> (np.uint64(64) - bits)).astype(np.int64), times.astype(float) ** 2, self.count)
 
 
 class Profiles:
-    """Language prototypes as inner products with every known n-gram; see the module's description."""
-
-    def __init__(self, letters: np.ndarray, letter_scores: np.ndarray, codes: np.ndarray, scores: np.ndarray):
-        self.letters = np.zeros(0x110000, np.int32)
-        self.letters[letters.astype(np.int64)] = np.arange(1, len(letters) + 1)
-        self.letter_scores = np.concatenate([np.zeros((1, len(LANGUAGES)), np.float32), letter_scores.astype(np.float32)])
-        self.slots = np.zeros(1 << SLOT_BITS, np.int32)
-        at = (mix(codes) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-        self.slots[at[::-1]] = np.arange(len(codes), 0, -1, dtype=np.int32)  # of two in a slot the more frequent stays
-        self.keys = np.concatenate([[np.uint64(0)], codes])
-        self.scores = np.concatenate([np.zeros((1, len(LANGUAGES)), np.float32), scores.astype(np.float32)])
+    """Language prototypes, with which any n-gram is compared; see the module's description."""
+
+    def __init__(self, prototypes: np.ndarray):
+        self.prototypes = prototypes.astype(np.float32)  # languages x DIMENSIONS, unit vectors
+        self._cache: tuple[np.ndarray, np.ndarray] | None = None
+
+    def __getstate__(self) -> dict:
+        return {"prototypes": self.prototypes, "_cache": None}
+
+    def products(self, codes: np.ndarray) -> np.ndarray:
+        """Inner products of n-grams' vectors (packed trigrams, or letters alone) with the prototypes."""
+        if self._cache is None:
+            self._cache = np.full(1 << CACHE_BITS, EMPTY), np.zeros((1 << CACHE_BITS, len(LANGUAGES)), np.float32)
+        keys, held = self._cache
+        slot = (mix(codes) >> np.uint64(64 - CACHE_BITS)).astype(np.int64)
+        out = held[slot]
+        missed = np.flatnonzero(keys[slot] != codes)
+        if len(missed):
+            fresh, at = np.unique(codes[missed], return_inverse=True)
+            made = multiply(fresh, self.prototypes)
+            out[missed] = made[at]
+            slot = (mix(fresh) >> np.uint64(64 - CACHE_BITS)).astype(np.int64)
+            keys[slot], held[slot] = fresh, made
+            twice = keys[slot] != fresh  # of two n-grams in one slot the last stays
+            held[slot[~twice]] = made[~twice]
+        return out
 
     def cosines(self, grams: Grams) -> np.ndarray:
         """Cosine of each sentence's bundle with each prototype (sentences x languages)."""
-        slot = self.slots[(mix(grams.codes) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
-        slot = np.where(self.keys[slot] == grams.codes, slot, 0)
-        single = self.letters[grams.letter.astype(np.int64)]
+        scores = self.products(grams.codes)
         out = np.empty((grams.count, len(LANGUAGES)))
         for k in range(len(LANGUAGES)):
-            out[:, k] = np.bincount(grams.code_of, self.scores[slot, k], grams.count) + np.bincount(grams.of, self.letter_scores[single, k], grams.count)
-        size = np.bincount(grams.code_of, minlength=grams.count) + np.bincount(grams.of[grams.letter >= FIRST_ALONE], minlength=grams.count)
-        # the expected length of a bundle of n independent +-1 vectors is sqrt(n * DIMENSIONS)
-        return out / np.sqrt(np.maximum(size, 1) * DIMENSIONS)[:, None]
+            out[:, k] = np.bincount(grams.code_of, scores[:, k], grams.count)
+        return out / np.sqrt(np.maximum(grams.squares(), 1) * DIMENSIONS)[:, None]
 
 
-def _products(parts: list[tuple]) -> list[np.ndarray]:
-    """Inner products of n-grams' vectors with the languages' unit prototypes, which bundle all parts.
+def vectors(codes: np.ndarray) -> np.ndarray:
+    """The vectors of n-grams: bound trigrams where three letters are packed, else the letter's own."""
+    out = np.empty((len(codes), DIMENSIONS), np.int8)
+    single = codes < np.uint64(1 << 21)
+    out[single] = letter_vectors(codes[single])
+    out[~single] = trigram_vectors(codes[~single])
+    return out
 
-    A part is (vector function, n-gram keys, weights by language).
-    """
-    step = 4_096
-    prototype = np.zeros((len(LANGUAGES), DIMENSIONS), np.float32)
-    for vectors, keys, weights in parts:
-        for at in range(0, len(keys), step):
-            prototype += weights[at : at + step].T.astype(np.float32) @ vectors(keys[at : at + step]).astype(np.float32)
-    prototype /= np.maximum(np.linalg.norm(prototype, axis=1, keepdims=True), 1e-9)
-    none = np.empty((0, len(LANGUAGES)), np.float32)
-    return [
-        np.concatenate([none, *(vectors(keys[at : at + step]).astype(np.float32) @ prototype.T for at in range(0, len(keys), step))])
-        for vectors, keys, _ in parts
-    ]
-
-
-def _weights(counts: np.ndarray) -> np.ndarray:
-    """How strongly each n-gram enters each language's bundle: by its relative use there, as far as the
-    language has more than its even share of it. Counts are shrunk towards the use over all languages, so
-    that chance finds of rare n-grams (parts of names) belong to no language."""
-    common = counts.sum(axis=1, keepdims=True) / max(counts.sum(), 1)
-    use = (counts + SHRINK * common) / (counts.sum(axis=0, keepdims=True) + SHRINK)
+
+def multiply(codes: np.ndarray, prototypes: np.ndarray, step: int = 2_048) -> np.ndarray:
+    made = [np.empty((0, len(LANGUAGES)), np.float32)]
+    made += [vectors(codes[at : at + step]).astype(np.float32) @ prototypes.T for at in range(0, len(codes), step)]
+    return np.concatenate(made)
+
+
+def bundle(codes: np.ndarray, weights: np.ndarray, step: int = 2_048) -> np.ndarray:
+    """The languages' prototypes: unit bundles of the n-grams' vectors with the given weights by language."""
+    out = np.zeros((len(LANGUAGES), DIMENSIONS), np.float32)
+    used = weights.any(axis=1)
+    codes, weights = codes[used], weights[used].astype(np.float32)
+    for at in range(0, len(codes), step):
+        out += weights[at : at + step].T @ vectors(codes[at : at + step]).astype(np.float32)
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+
+def _weights(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """How strongly each n-gram enters each language's bundle: by its use among ``total`` (by language), as far
+    as the language has more than twice its even share of it. Only proportions count, so any size behaves alike."""
+    pseudo = SMOOTHING * total.mean()
+    use = (counts + pseudo * counts.sum(axis=1, keepdims=True) / max(total.sum(), 1)) / np.maximum(total + pseudo, 1e-12)
     share = use / np.maximum(use.sum(axis=1, keepdims=True), 1e-12)
     return np.maximum(share - 2 / len(LANGUAGES), 0) * use
 
@@ -187,40 +231,45 @@ def declared(label: str | None) -> str | None:
 
 
 def train(texts: list[str], labels: list[str | None], rounds: int = 4) -> Profiles:
-    """Prototypes from labelled texts whose labels are partly wrong or missing."""
+    """Prototypes from texts whose labels are partly wrong or missing; with no text, those of the seeds.
+
+    Each round compares the sentences with the prototypes so far. A sentence that is surely in one language
+    gets it; any other gets that of its text, the language with the highest mean cosine, the label's own
+    raised by LABEL_HINT.
+    """
     grams = Grams([*texts, *SEEDS.values()])
     known = {lang: k for k, lang in enumerate(LANGUAGES)}
-    by_text = np.array([known.get(declared(x), -1) for x in labels] + [known[x] for x in SEEDS], np.int64)
-    letters, letter_at = np.unique(grams.letter, return_inverse=True)
-    codes, code_at, counts = np.unique(grams.codes, return_inverse=True, return_counts=True)
-    order = np.argsort(-counts, kind="stable")[:MAX_TRIGRAMS]
-    rank = np.full(len(codes), -1)
-    rank[order] = np.arange(len(order))
-    codes, code_at = codes[order], rank[code_at]
-    size = len(LANGUAGES)
-    declared_lang = by_text[grams.owner]
-    assigned, emphasis = declared_lang, np.ones(grams.count)
-    alone = (letters >= FIRST_ALONE)[:, None]
-    profiles = None
+    size, all_texts = len(LANGUAGES), len(texts) + len(SEEDS)
+    seed = np.array([known[x] for x in SEEDS])
+    real = grams.owner < len(texts)
+    fixed = np.where(real, -1, seed[np.maximum(grams.owner - len(texts), 0)])
+    hint = np.zeros((all_texts, size))
+    for k, label in enumerate(labels):
+        if (lang := known.get(declared(label))) is not None:
+            hint[k, lang] = LABEL_HINT
+    codes, code_at = np.unique(grams.codes, return_inverse=True)
+    alone = codes < np.uint64(1 << 21)
+    weight = np.sqrt(grams.letters)
+    mass = np.maximum(np.bincount(grams.owner, weight, all_texts), 1)[:, None]
+    assigned, emphasis = fixed, np.ones(grams.count)
     for turn in range(rounds):
-
-        def tally(at: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
-            lang = assigned[of]
-            ok = (lang >= 0) & (at >= 0)
-            return np.bincount(at[ok] * size + lang[ok], emphasis[of[ok]], minlength=n * size).reshape(-1, size)
-
-        single, triple = tally(letter_at, grams.of, len(letters)), tally(code_at, grams.code_of, len(codes))
-        letter_scores, scores = _products([(letter_vectors, letters, np.where(alone, _weights(single), 0)), (trigram_vectors, codes, _weights(triple))])
-        profiles = Profiles(letters, np.where(alone, letter_scores, 0), codes, scores)
+        lang = assigned[grams.code_of]
+        ok = lang >= 0
+        counts = np.bincount(code_at[ok] * size + lang[ok], emphasis[grams.code_of[ok]], minlength=len(codes) * size).reshape(-1, size)
+        letters = np.bincount(assigned[assigned >= 0], (emphasis * grams.letters)[assigned >= 0], size)
+        weights = np.zeros(counts.shape)
+        weights[alone], weights[~alone] = _weights(counts[alone], letters), _weights(counts[~alone], counts[~alone].sum(axis=0))
+        profiles = Profiles(bundle(codes, weights))
         if turn < rounds - 1:
             cos = profiles.cosines(grams)
             best = cos.argmax(axis=1)
             top = np.sort(cos, axis=1)
             surely = (grams.letters >= 20) & (top[:, -1] - top[:, -2] > RELABEL)
-            real = grams.owner < len(texts)
-            assigned = np.where(surely & real, best, declared_lang)
+            mean = np.stack([np.bincount(grams.owner, cos[:, k] * weight, all_texts) for k in range(size)], axis=1) / mass
+            voted = (mean + hint).argmax(axis=1)[grams.owner]
+            assigned = np.where(real, np.where(surely, best, voted), fixed)
             # sentences near a wrong prototype weigh more in the next round
-            emphasis = np.where((best != assigned) & (assigned >= 0) & (grams.letters >= 8), emphasis * 2, emphasis)
+            emphasis = np.where((best != assigned) & (grams.letters >= 8), emphasis * 2, emphasis)
     return profiles
 
 
@@ -230,21 +279,25 @@ _SEGMENTS = pa.schema(
 _SEGMENTS_DDL = "doc_id long, label string, segment int, start long, stop long, lang string, confidence double, full boolean"
 
 
-def _smooth(best: np.ndarray, sure: np.ndarray, owner: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Unsure sentences take the language of the last sure one of their text, else of the next, else their own."""
-    index = np.where(sure, np.arange(len(best)), -1)
-    back = np.maximum.accumulate(index) if len(index) else index
-    ok = (back >= 0) & (owner[np.maximum(back, 0)] == owner)
-    ahead = np.minimum.accumulate(np.where(sure, np.arange(len(best)), len(best))[::-1])[::-1] if len(best) else index
-    fine = (ahead < len(best)) & (owner[np.minimum(ahead, len(best) - 1)] == owner) if len(best) else ok
-    return np.where(sure, best, np.where(ok, best[np.maximum(back, 0)], np.where(fine, best[np.minimum(ahead, max(len(best) - 1, 0))], best)))
+def _smooth(cos: np.ndarray, best: np.ndarray, sure: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Unsure sentences take the nearer of the languages of their text's last and next sure ones, else their own."""
+    n = len(best)
+    at = np.arange(n)
+    back = np.maximum.accumulate(np.where(sure, at, -1))
+    ahead = np.minimum.accumulate(np.where(sure, at, n)[::-1])[::-1]
+    before = (back >= 0) & (owner[np.maximum(back, 0)] == owner)
+    behind = (ahead < n) & (owner[np.minimum(ahead, n - 1)] == owner)
+    last, following = best[np.maximum(back, 0)], best[np.minimum(ahead, n - 1)]
+    nearer = np.where(cos[at, last] >= cos[at, following], last, following)
+    return np.where(sure, best, np.where(before & behind, nearer, np.where(before, last, np.where(behind, following, best))))
 
 
 def segments_of(profiles: Profiles, texts: list[str]) -> tuple[np.ndarray, ...]:
     """(text index, start, stop, language index, confidence, full) of the one-language segments of texts.
 
     Confidence is the share of the language among the segment's evidence, a softmax of the cosines. Full says
-    that the segment has a whole sentence that is surely in the language.
+    that the segment has a whole sentence that is surely in the language; a sentence that is not sure goes with
+    its neighbours.
     """
     grams = Grams(texts)
     if not grams.count:
@@ -252,9 +305,10 @@ def segments_of(profiles: Profiles, texts: list[str]) -> tuple[np.ndarray, ...]:
     cos = profiles.cosines(grams)
     best = cos.argmax(axis=1)
     top = np.partition(cos, -2, axis=1)[:, -2:]
-    enough = (grams.letters >= LEAST_LETTERS) | (grams.wide >= LEAST_WIDE)
-    sure = enough & (np.abs(top[:, 1] - top[:, 0]) > MARGIN)
-    lang = _smooth(best, sure, grams.owner, grams.letters)
+    margin = np.abs(top[:, 1] - top[:, 0])
+    short = grams.marked & ((grams.letters >= SHORT_LETTERS) | (grams.wide >= SHORT_WIDE))
+    sure = ((grams.letters >= LEAST_LETTERS) | (grams.wide >= LEAST_WIDE)) & (margin > MARGIN) | short & (margin > SHORT_MARGIN)
+    lang = _smooth(cos, best, sure, grams.owner)
     fresh = np.ones(len(lang), bool)
     fresh[1:] = (lang[1:] != lang[:-1]) | (grams.owner[1:] != grams.owner[:-1])
     first = np.flatnonzero(fresh)

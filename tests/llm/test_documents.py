@@ -1,12 +1,16 @@
+import os
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+from checks import tables
 
 from cliplake.llm import language as L
 from cliplake.llm import leakage as K
 from cliplake.llm import packing as C
 from cliplake.llm.chars import code_points, distinct_counts, window_hashes
+from cliplake.llm.qadefects import language_votes
 
 DOCS = "doc_id long, text string, lang string, key long, size long, label string"
 ITEMS = "item_id long, suite string, text string"
@@ -185,6 +189,69 @@ def test_declared_language(label, lang):
     assert L.declared(label) == lang
 
 
+LATIN = ("en", "es", "pt", "de", "fr")
+
+
+def labelled(folder):
+    """Texts and labels of the documents table, and the rows of Latin-script languages whose label stopwords confirm."""
+    rows = tables(folder).execute("SELECT text, lang FROM documents WHERE trim(coalesce(text, '')) <> '' AND length(text) <= 20000 ORDER BY doc_id").fetchall()
+    texts, labels = [t for t, _ in rows], [x for _, x in rows]
+    clean = {}
+    for k, (t, x) in enumerate(rows):
+        votes = language_votes(t).most_common(2)
+        if L.declared(x) in LATIN and votes and votes[0][0] == L.declared(x) and (len(votes) == 1 or votes[0][1] > 1.2 * votes[1][1]):
+            clean[k] = L.declared(x)
+    return texts, labels, clean
+
+
+def agreement(profiles, texts, clean):
+    owner, _, _, lang, _, full = L.segments_of(profiles, [texts[k] for k in clean])
+    said = {(k, L.LANGUAGES[x]) for k, x, whole in zip(owner, lang, full, strict=True) if whole}
+    spoken = Counter(k for k, _ in said)
+    right = [(k, x) in said and spoken[k] <= 2 for k, x in enumerate(clean.values())]
+    return {x: np.mean([r for r, y in zip(right, clean.values(), strict=True) if y == x]) for x in sorted(set(clean.values()))}
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+def test_languages_agree_with_clean_labels_at_every_size(data, scale):
+    folder = os.path.join(os.path.dirname(data.rstrip("/")), scale)
+    if not os.path.isdir(folder):
+        pytest.skip("the table of this size is not here")
+    texts, labels, clean = labelled(folder)
+    texts, labels, clean = texts[:2000], labels[:2000], {k: x for k, x in clean.items() if k < 2000}
+    assert "en" in clean.values()
+    for withheld in (None, "fr") if scale == "sf0.1" else (None, *LATIN, "all"):
+        given = [None if withheld in ("all", L.declared(x)) else x for x in labels]
+        found = agreement(L.train(texts, given), texts, clean)
+        assert min(found.values()) >= 0.9, (withheld, found)
+
+
+@pytest.mark.parametrize("lang", sorted(SENTENCES))
+def test_seeds_alone_tell_languages(lang):
+    _, _, _, found, _, _ = L.segments_of(L.train([], []), [" ".join(SENTENCES[lang])])
+    assert [L.LANGUAGES[k] for k in found] == [lang]
+
+
+def test_a_short_full_sentence_between_others():
+    text = "".join(SENTENCES["zh"]) + "Он ждёт." + "".join(SENTENCES["zh"])
+    profiles = L.train(["".join(SENTENCES["zh"]), " ".join(SENTENCES["ru"])], [None, None])
+    _, start, stop, lang, _, full = L.segments_of(profiles, [text])
+    assert [L.LANGUAGES[k] for k in lang] == ["zh", "ru", "zh"] and full.all() and text[start[1] : stop[1]] == "Он ждёт."
+
+
+def test_cosines_are_those_of_the_bundles(monkeypatch):
+    profiles = L.train([], [])
+    grams = L.Grams([" ".join(x) for x in SENTENCES.values()] + ["Xqzw vjkx qqqq qqqq qqqq. 犇犇犇犇犇犇"])
+    cos = profiles.cosines(grams)
+    for k in range(grams.count):
+        bundle = L.vectors(grams.codes[grams.code_of == k]).astype(np.float64).sum(axis=0)
+        length = np.linalg.norm(bundle)
+        assert abs(np.sqrt(grams.squares()[k] * L.DIMENSIONS) / length - 1) < 0.06
+        assert np.abs(bundle @ profiles.prototypes.T / length - cos[k]).max() < 0.02
+    monkeypatch.setattr(L, "CACHE_BITS", 4)  # a cache of hardly any n-gram changes nothing
+    assert np.allclose(L.Profiles(profiles.prototypes).cosines(grams), cos, atol=1e-5)
+
+
 def test_letter_vectors_are_fixed_and_nearly_orthogonal():
     a = L.letter_vectors(np.array([97, 98, 0x4E2D]))
     assert (a == L.letter_vectors(np.array([97, 98, 0x4E2D]))).all()
