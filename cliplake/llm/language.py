@@ -104,7 +104,7 @@ class Grams:
         self.offsets = offsets
         newline = (flat == 10) | (flat == 13)
         follows_space = np.ones(n, bool)
-        follows_space[:-1] = np.isin(flat[1:], np.array([32, 10, 13, 9, 0x3000, 34, 39, 41], np.uint32))
+        follows_space[:-1] = np.isin(flat[1:], np.array([32, 10, 13, 9, 34, 39, 41], np.uint32)) | (flat[1:] >= 0x2E80)
         last = offsets[1:][np.diff(offsets) > 0] - 1
         follows_space[last] = True  # what follows there is another text
         mark = np.isin(flat, _MARKS) | ((flat == 46) & follows_space)
