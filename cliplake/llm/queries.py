@@ -70,8 +70,7 @@ def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # candidates by posterior, and whatever the wide rule speaks for at any posterior; the exact check follows
-    likely = _repeats(spark, sf_dir).where("posterior >= 0.01 or wide = 1")
+    likely = _repeats(spark, sf_dir).where("posterior >= 0.5")  # the posterior selects, the exact check follows
     return likely.where("n_chars >= 40 and repeat_share >= 0.25").select(F.col("rec").alias("row_id")).distinct()
 
 
@@ -80,6 +79,11 @@ def p4_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("rec").alias("row_id"), "n_chars", "repeat_share", "sentence_share", "posterior")
 
 
+def p4_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The measured shares alone, without the votes."""
+    return _repeats(spark, sf_dir).select(F.col("rec").alias("row_id"), "n_chars", F.round("repeat_share", 9).alias("repeat_share"))
+
+
 def _defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qa_defects(read_table(spark, sf_dir, "clip_qa_pairs"), "qa_id", "question", "answer")
 
@@ -161,6 +165,7 @@ QUERIES = {
     "p3_link_counts": p3_link_counts,
     "p4_found": p4_found,
     "p4_repetition": p4_repetition,
+    "p4_shares": p4_shares,
     "p5_found": p5_found,
     "p5_counts": p5_counts,
     "p6_found": p6_found,
@@ -222,6 +227,8 @@ SELECT DISTINCT video_a, video_id AS video_b FROM named WHERE video_id <> video_
  sizes AS (SELECT src, rec, count(*) AS n FROM grams GROUP BY ALL),
  met AS (SELECT x.src, x.rec AS a, y.rec AS b, count(*) AS k FROM grams x JOIN grams y ON x.src = y.src AND x.g = y.g AND x.rec < y.rec GROUP BY ALL)
 SELECT met.src, a AS rec_a, b AS rec_b FROM met JOIN sizes p ON p.src = met.src AND p.rec = a JOIN sizes q ON q.src = met.src AND q.rec = b WHERE k >= 0.7 * (p.n + q.n - k)""",
+    "p4_shares": f"""SELECT row_id, length(t) AS n_chars, CASE WHEN length(t) >= 8 THEN round(1 - len(list_distinct(list_transform(range(1, length(t) - 6), lambda i: substr(t, i, 8))))::DOUBLE / (length(t) - 7), 9) ELSE 0.0 END AS repeat_share
+FROM (SELECT row_id, coalesce({_dense("description")}, '') AS t FROM clip_descriptions_copy)""",
     "p4_found": f"""SELECT row_id FROM (SELECT row_id, {_dense("description")} AS t FROM clip_descriptions_copy)
 WHERE length(t) >= 40 AND 1 - len(list_distinct(list_transform(range(1, length(t) - 6), lambda i: substr(t, i, 8))))::DOUBLE / (length(t) - 7) >= 0.25""",
 }

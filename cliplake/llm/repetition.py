@@ -1,8 +1,8 @@
 """Repetition inside a single document, judged by weak supervision.
 
-Rules on repeated content vote repeated, clean or abstain; expectation-maximisation over the counts of the
-vote patterns estimates how often each rule is right; a document's posterior replaces the all-must-pass
-filtering. The patterns are few (3 to the number of rules), whatever the number of documents.
+Rules on repeated content vote repeated, clean or abstain, none of them by the share that is measured;
+expectation-maximisation over the counts of the vote patterns estimates how often each rule is right; a
+document's posterior replaces the all-must-pass filtering. The patterns are few (3 to the number of rules), whatever the number of documents.
 """
 
 from __future__ import annotations
@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 from cliplake.llm.chars import code_points, distinct_counts, text_slices, window_hashes
 from cliplake.session import write_out
 
-RULES = ("wide", "narrow", "sentences", "run", "top")
+RULES = ("short", "long", "sentences", "run", "top")
 MIN_CHARS = 40
-WIDE, NARROW = 8, 4
+#: Characters of the windows whose repeated share is measured, and of those that the rules look at.
+WIDTH, SHORT, LONG = 8, 6, 20
 _ENDS = re.compile(r"[。！？!?；;\n]+|\.(?=\s|$)")
 _RUN = re.compile(r"(.)\1{11,}", re.S)
-_SCHEMA = "rec long, n_chars long, repeat_share double, sentence_share double, wide int, narrow int, sentences int, run int, top int"
+_SCHEMA = "rec long, n_chars long, repeat_share double, sentence_share double, short int, long int, sentences int, run int, top int"
 
 
 def sentence_share(text: str) -> tuple[float, int]:
@@ -50,26 +51,27 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flat, offsets = code_points(dense)
             n = np.diff(offsets)
             shares = {}
-            for width in (WIDE, NARROW):
+            for width in (WIDTH, SHORT, LONG):
                 hashes, owner = window_hashes(flat, offsets, width)
                 distinct, most = distinct_counts(hashes, owner, len(raw))
                 windows = np.maximum(n - width + 1, 1)
                 shares[width] = np.where(n >= width, 1 - distinct / windows, 0.0)
-                if width == WIDE:
+                if width == SHORT:
                     top = most * width / np.maximum(n, 1)
             by_sentence = [sentence_share(t) for t in raw]
             again = np.array([s for s, _ in by_sentence])
             count = np.array([k for _, k in by_sentence])
             run = np.array([_RUN.search(t) is not None for t in dense])
+            # weak signals, none of which is the measured share: phrases, long passages, sentences, runs, one phrase
             votes = [
-                np.where(shares[WIDE] >= 0.25, 1, np.where(shares[WIDE] <= 0.15, -1, 0)),
-                np.where(shares[NARROW] >= 0.45, 1, np.where(shares[NARROW] <= 0.2, -1, 0)),
-                np.where((count > 1) & (again >= 0.2), 1, np.where((count > 2) & (again == 0) & ~run, -1, 0)),
+                np.where(shares[SHORT] >= 0.27, 1, np.where(shares[SHORT] <= 0.18, -1, 0)),
+                np.where(shares[LONG] >= 0.12, 1, np.where(shares[LONG] <= 0.05, -1, 0)),
+                np.where((count > 1) & (again >= 0.2), 1, np.where((count > 2) & (again == 0), -1, 0)),
                 np.where(run, 1, 0),
-                np.where(top >= 0.2, 1, 0),
+                np.where(top >= 0.1, 1, np.where(top <= 0.04, -1, 0)),
             ]
             long_enough = n >= MIN_CHARS
-            cols = [batch.column("rec"), pa.array(n), pa.array(shares[WIDE]), pa.array(again)]
+            cols = [batch.column("rec"), pa.array(n), pa.array(shares[WIDTH]), pa.array(again)]
             cols += [pa.array(np.where(long_enough, v, 0).astype(np.int32)) for v in votes]
             yield pa.RecordBatch.from_arrays(cols, names=["rec", "n_chars", "repeat_share", "sentence_share", *RULES])
 

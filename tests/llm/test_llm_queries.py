@@ -1,7 +1,12 @@
+import os
+
+import numpy as np
 import pytest
 from checks import same, tables
+from pyspark.sql import functions as F
 
 from cliplake.llm import queries as R
+from cliplake.llm import repetition as M
 from cliplake.llm.leakage import normalise
 from cliplake.llm.splits import video_key
 
@@ -69,8 +74,19 @@ def test_query_runs(spark, data, name):
     assert R.QUERIES[name](spark, data).count() >= 0
 
 
-def test_p4_found_keeps_repeated_texts_of_any_posterior(spark, data, monkeypatch):
-    made = [(1, 90, 0.3, 0.0, 1, 0, -1, 0, 0, 0.0042), (2, 90, 0.2, 0.0, 0, 0, -1, 0, 0, 0.0042), (3, 39, 0.3, 0.0, 0, 0, 0, 0, 0, 0.1)]
-    names = "rec long, n_chars long, repeat_share double, sentence_share double, wide int, narrow int, sentences int, run int, top int, posterior double"
-    monkeypatch.setattr(R, "_repeats", lambda s, d: s.createDataFrame(made, names))
-    assert [r.row_id for r in R.p4_found(spark, data).collect()] == [1]
+def test_p4_found_is_selected_by_the_posterior(spark, data, monkeypatch):
+    wanted = rows(spark, data, "p4_found")
+    assert wanted
+    post = M.fit_votes
+    monkeypatch.setattr(M, "fit_votes", lambda patterns, counts: np.full(len(patterns), 0.1))  # no estimation: the prior
+    assert rows(spark, data, "p4_found") == set()
+    monkeypatch.setattr(M, "fit_votes", lambda patterns, counts: np.where((patterns == 1).all(axis=1), post(patterns, counts), 0.0))  # all must pass
+    assert rows(spark, data, "p4_found") < wanted
+
+
+def test_p4_recall_of_the_posterior(spark, data):
+    folder = os.path.join(os.path.dirname(data.rstrip("/")), "sf0.1")
+    found = R._repeats(spark, folder if os.path.isdir(folder) else data)
+    case = (F.col("n_chars") >= 40) & (F.col("repeat_share") >= 0.25)
+    n, kept, likely = found.agg(F.count_if(case), F.count_if(case & (F.col("posterior") >= 0.5)), F.count_if(F.col("posterior") >= 0.5)).first()
+    assert n > 0 and kept >= 0.99 * n and kept >= 0.9 * likely
