@@ -24,8 +24,8 @@ from cliplake.llm.chars import code_points, mix, text_slices
 LANGUAGES = ("zh", "en", "ja", "ko", "ru", "es", "pt", "de", "fr")
 DIMENSIONS = 4096
 #: Bounds of the training sample.
-SAMPLE_ROWS = 4_000
-SAMPLE_CHARS = 20_000  # longer documents are not picked for the sample
+SAMPLE_ROWS = 2_000
+SAMPLE_CHARS = 10_000  # longer documents are not picked for the sample
 #: Slots of a worker's cache of n-gram products; what is not in it is made anew, so its size changes no result.
 CACHE_BITS = 20
 SMOOTHING = 0.25  # pseudo-use of each n-gram, as a share of the mean use of a language's n-grams
@@ -183,9 +183,7 @@ class Profiles:
     def cosines(self, grams: Grams) -> np.ndarray:
         """Cosine of each sentence's bundle with each prototype (sentences x languages)."""
         scores = self.products(grams.codes)
-        out = np.empty((grams.count, len(LANGUAGES)))
-        for k in range(len(LANGUAGES)):
-            out[:, k] = np.bincount(grams.code_of, scores[:, k], grams.count)
+        out = np.stack([np.bincount(grams.code_of, scores[:, k], grams.count) for k in range(len(LANGUAGES))], axis=1)
         return out / np.sqrt(np.maximum(grams.squares(), 1) * DIMENSIONS)[:, None]
 
 
@@ -237,39 +235,54 @@ def train(texts: list[str], labels: list[str | None], rounds: int = 4) -> Profil
     gets it; any other gets that of its text, the language with the highest mean cosine, the label's own
     raised by LABEL_HINT.
     """
-    grams = Grams([*texts, *SEEDS.values()])
     known = {lang: k for k, lang in enumerate(LANGUAGES)}
-    size, all_texts = len(LANGUAGES), len(texts) + len(SEEDS)
+    size, every = len(LANGUAGES), [*texts, *SEEDS.values()]
+    # a slice of the texts at a time, of which small numbers stay: the n-gram of each place, and its sentence
+    parts, places, sentences = [], [], 0
+    for at, stop in text_slices(every, 500):
+        grams = Grams(every[at:stop])
+        own, where = np.unique(grams.codes, return_inverse=True)
+        parts.append((own, grams.letters, grams.owner + at, grams.squares()))
+        places.append((where.astype(np.int32), (grams.code_of + sentences).astype(np.int32)))
+        sentences += grams.count
+    codes = np.unique(np.concatenate([own for own, *_ in parts]))
+    code_at = np.concatenate([np.searchsorted(codes, own).astype(np.int32)[where] for (own, *_), (where, _) in zip(parts, places, strict=True)])
+    code_of = np.concatenate([of for _, of in places])
+    letters, owner, squares = (np.concatenate([part[k] for part in parts]) for k in (1, 2, 3))
+    del parts, places
     seed = np.array([known[x] for x in SEEDS])
-    real = grams.owner < len(texts)
-    fixed = np.where(real, -1, seed[np.maximum(grams.owner - len(texts), 0)])
-    hint = np.zeros((all_texts, size))
+    real = owner < len(texts)
+    fixed = np.where(real, -1, seed[np.maximum(owner - len(texts), 0)])
+    hint = np.zeros((len(every), size))
     for k, label in enumerate(labels):
         if (lang := known.get(declared(label))) is not None:
             hint[k, lang] = LABEL_HINT
-    codes, code_at = np.unique(grams.codes, return_inverse=True)
     alone = codes < np.uint64(1 << 21)
-    weight = np.sqrt(grams.letters)
-    mass = np.maximum(np.bincount(grams.owner, weight, all_texts), 1)[:, None]
-    assigned, emphasis = fixed, np.ones(grams.count)
+    weight = np.sqrt(letters)
+    mass = np.maximum(np.bincount(owner, weight, len(every)), 1)[:, None]
+    length = np.sqrt(np.maximum(squares, 1) * DIMENSIONS)[:, None]
+    assigned, emphasis = fixed, np.ones(sentences)
     for turn in range(rounds):
-        lang = assigned[grams.code_of]
-        ok = lang >= 0
-        counts = np.bincount(code_at[ok] * size + lang[ok], emphasis[grams.code_of[ok]], minlength=len(codes) * size).reshape(-1, size)
-        letters = np.bincount(assigned[assigned >= 0], (emphasis * grams.letters)[assigned >= 0], size)
+        counts = np.zeros((len(codes), size))
+        total = np.zeros(size)
+        for k in range(size):
+            used = emphasis * (assigned == k)
+            counts[:, k] = np.bincount(code_at, used[code_of], len(codes))
+            total[k] = (used * letters).sum()
         weights = np.zeros(counts.shape)
-        weights[alone], weights[~alone] = _weights(counts[alone], letters), _weights(counts[~alone], counts[~alone].sum(axis=0))
+        weights[alone], weights[~alone] = _weights(counts[alone], total), _weights(counts[~alone], counts[~alone].sum(axis=0))
         profiles = Profiles(bundle(codes, weights))
         if turn < rounds - 1:
-            cos = profiles.cosines(grams)
+            scores = multiply(codes, profiles.prototypes)
+            cos = np.stack([np.bincount(code_of, scores[code_at, k], sentences) for k in range(size)], axis=1) / length
             best = cos.argmax(axis=1)
             top = np.sort(cos, axis=1)
-            surely = (grams.letters >= 20) & (top[:, -1] - top[:, -2] > RELABEL)
-            mean = np.stack([np.bincount(grams.owner, cos[:, k] * weight, all_texts) for k in range(size)], axis=1) / mass
-            voted = (mean + hint).argmax(axis=1)[grams.owner]
+            surely = (letters >= 20) & (top[:, -1] - top[:, -2] > RELABEL)
+            mean = np.stack([np.bincount(owner, cos[:, k] * weight, len(every)) for k in range(size)], axis=1) / mass
+            voted = (mean + hint).argmax(axis=1)[owner]
             assigned = np.where(real, np.where(surely, best, voted), fixed)
             # sentences near a wrong prototype weigh more in the next round
-            emphasis = np.where((best != assigned) & (grams.letters >= 8), emphasis * 2, emphasis)
+            emphasis = np.where((best != assigned) & (letters >= 8), emphasis * 2, emphasis)
     return profiles
 
 
