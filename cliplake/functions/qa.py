@@ -7,23 +7,53 @@ from pyspark.sql import functions as F
 
 from cliplake.functions.text import let, strip
 
-# The labels of the answer format.
-_STOP = r"(?=问题\s*\d+\s*[：:]|答案\s*\d+\s*[：:]|$)"
-_NUMBERED = {"q": r"(?sU)问题\s*(\d+)\s*[：:]\s*(.+?)" + _STOP, "a": r"(?sU)答案\s*(\d+)\s*[：:]\s*(.+?)" + _STOP}
-_LOOSE = {
-    "q": r"(?sU)(?:问|Q)[题]?\s*[：:]\s*(.+?)(?=(?:答|A)[案]?\s*[：:]|$)",
-    "a": r"(?sU)(?:答|A)[案]?\s*[：:]\s*(.+?)(?=(?:问|Q)[题]?\s*[：:]|$)",
-}
-
-
-def _numbered(text: Column, side: str) -> Column:
-    """Array of (n, i, body) of one side, i being the place in the text."""
-    pattern = F.lit(_NUMBERED[side])
-    numbers = F.regexp_extract_all(text, pattern, F.lit(1))
-    bodies = F.regexp_extract_all(text, pattern, F.lit(2))
-    return F.transform(
-        F.arrays_zip(numbers.alias("n"), bodies.alias("b")), lambda x, i: F.struct(F.translate(x["n"], "０１２３４５６７８９", "0123456789").try_cast("long").alias("n"), i.alias("i"), strip(x["b"]).alias("b"))
-    )
+# The words that label questions and answers, with a number and without.
+NUMBERED = {"q": ["问题"], "a": ["答案"]}
+LOOSE = {"q": ["问题", "问", "Q题", "Q"], "a": ["答案", "答", "A案", "A"]}
+COLONS = "：:"
+DIGITS = "０１２３４５６７８９"
+_MARK = "\x01"  # set around the labels found; one in the text itself is dropped
+
+
+def _labelled(text: Column, words: dict[str, list[str]], number: str) -> Column:
+    """Array of (side, n, label, text): every label of a text in order, with the text up to the next one."""
+    either = "|".join(w for side in words.values() for w in side)
+    parts = F.split(F.regexp_replace(text, rf"(?U)(?:{either}){number}\s*[{COLONS}]", f"{_MARK}$0{_MARK}"), _MARK)
+
+    def tokens(x: Column) -> Column:
+        at = F.filter(F.sequence(F.lit(2), F.greatest(F.size(x["p"]), F.lit(2)), F.lit(2)), lambda k: k < F.size(x["p"]))
+        return F.transform(at, lambda k: token(F.element_at(x["p"], k), F.element_at(x["p"], k + 1)))
+
+    def token(label: Column, rest: Column) -> Column:
+        asks = F.lit(False)
+        for w in words["q"]:
+            asks = asks | label.startswith(w)
+        n = F.translate(F.regexp_extract(label, r"(?U)(\d+)", 1), DIGITS, "0123456789").try_cast("long")
+        return F.struct(F.when(asks, "q").otherwise("a").alias("side"), n.alias("n"), label.alias("label"), rest.alias("text"))
+
+    return let(tokens, p=parts)
+
+
+def _bodies(tokens: Column, side: str, any_stops: bool) -> Column:
+    """Array of (n, body) of one side's labels, in order.
+
+    A body runs to the next label of the other side, or of any side. It has at least one character: a label
+    right behind another, white space aside, is taken as the body's beginning.
+    """
+    kind = "struct<done:array<struct<n:bigint,body:string>>,open:boolean,n:bigint,body:string>"
+    start = F.struct(F.array().alias("done"), F.lit(False).alias("open"), F.lit(None).alias("n"), F.lit("").alias("body")).cast(kind)
+    state = lambda done, open_, n, body: F.struct(done.alias("done"), open_.alias("open"), n.alias("n"), body.alias("body")).cast(kind)
+    closed = lambda s: F.concat(s["done"], F.array(F.struct(s["n"].alias("n"), s["body"].alias("body"))))
+
+    def step(s: Column, t: Column) -> Column:
+        own = t["side"] == side
+        stops = F.lit(True) if any_stops else ~own
+        whole = F.concat(t["label"], t["text"])
+        fresh = state(F.when(s["open"], closed(s)).otherwise(s["done"]), own, F.when(own, t["n"]), F.when(own, t["text"]).otherwise(F.lit("")))
+        return F.when(s["open"] & (strip(s["body"]) == ""), state(s["done"], s["open"], s["n"], whole)).when(s["open"] & ~stops, state(s["done"], s["open"], s["n"], F.concat(s["body"], whole))).otherwise(fresh)
+
+    finish = lambda s: F.transform(F.when(s["open"] & (s["body"] != ""), closed(s)).otherwise(s["done"]), lambda x: F.struct(x["n"].alias("n"), strip(x["body"]).alias("b")))
+    return F.aggregate(tokens, start, step, finish)
 
 
 def parse_pairs(text: Column) -> Column:
@@ -32,20 +62,25 @@ def parse_pairs(text: Column) -> Column:
     Numbered pairs first: of a number given twice the last counts, numbers on both sides only, in order,
     blanks dropped. If there is none, loose labels are zipped in order. A null text gives an empty array.
     """
-    text = F.coalesce(text, F.lit(""))
+    text = F.translate(F.coalesce(text, F.lit("")), _MARK, "")
 
     def numbered(x: Column) -> Column:
         last = lambda items, n: F.try_element_at(F.filter(items, lambda y: y["n"] == n), F.lit(-1))["b"]
         both = F.array_sort(F.array_intersect(F.transform(x["q"], lambda y: y["n"]), F.transform(x["a"], lambda y: y["n"])))
-        return _whole(F.transform(both, lambda n: F.struct(last(x["q"], n).alias("question"), last(x["a"], n).alias("answer"))))
+        known = F.filter(both, lambda n: n.isNotNull())
+        return _whole(F.transform(known, lambda n: F.struct(last(x["q"], n).alias("question"), last(x["a"], n).alias("answer"))))
 
     def loose(x: Column) -> Column:
         size = F.least(F.size(x["q"]), F.size(x["a"]))
         zipped = F.arrays_zip(F.slice(x["q"], F.lit(1), size).alias("q"), F.slice(x["a"], F.lit(1), size).alias("a"))
-        return _whole(F.transform(zipped, lambda y: F.struct(strip(y["q"]).alias("question"), strip(y["a"]).alias("answer"))))
+        return _whole(F.transform(zipped, lambda y: F.struct(y["q"]["b"].alias("question"), y["a"]["b"].alias("answer"))))
+
+    def sides(words: dict[str, list[str]], number: str, any_stops: bool, body) -> Column:
+        both = lambda x: let(body, q=_bodies(x["t"], "q", any_stops), a=_bodies(x["t"], "a", any_stops))
+        return let(both, t=_labelled(text, words, number))
 
-    first = let(numbered, q=_numbered(text, "q"), a=_numbered(text, "a"))
-    other = let(loose, q=F.regexp_extract_all(text, F.lit(_LOOSE["q"]), F.lit(1)), a=F.regexp_extract_all(text, F.lit(_LOOSE["a"]), F.lit(1)))
+    first = sides(NUMBERED, r"\s*\d+", True, numbered)
+    other = sides(LOOSE, "", False, loose)
     return let(lambda x: F.when(F.size(x["found"]) > 0, x["found"]).otherwise(other), found=first)
 
 

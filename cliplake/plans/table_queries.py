@@ -150,11 +150,9 @@ def delete_plan(s: SparkSession, d: str) -> DataFrame:
     return plan_deletes(rows, _answers(s, d).where("lang is not null").select("path"))
 
 
-def _responses(s: SparkSession, d: str, loose: bool, labelled: bool = False) -> DataFrame:
-    """Responses made of the non-blank pairs; unless ``labelled``, of those without a label in them only."""
+def _responses(s: SparkSession, d: str, loose: bool) -> DataFrame:
+    """Responses made of the non-blank pairs, those included that hold labels themselves."""
     rows = read_table(s, d, "clip_qa_pairs").where(~T.is_blank("question") & ~T.is_blank("answer"))
-    for c in () if labelled else ("question", "answer"):
-        rows = rows.where(~F.col(c).rlike(r"问题?\s*\d*\s*[：:]|答案?\s*\d*\s*[：:]|[QA]\s*[：:]"))
     q, a = F.col("question"), F.col("answer")
     if loose:
         return rows.select("qa_id", F.concat(F.lit("问："), q, F.lit("\n答："), a, F.lit("\nQ: "), q, F.lit("\n")).alias("response"))
@@ -174,14 +172,6 @@ def qa_parse_loose(s: SparkSession, d: str) -> DataFrame:
     return _parsed(_responses(s, d, True))
 
 
-def qa_parse_numbered_whole(s: SparkSession, d: str) -> DataFrame:
-    return _parsed(_responses(s, d, False, labelled=True))
-
-
-def qa_parse_loose_whole(s: SparkSession, d: str) -> DataFrame:
-    return _parsed(_responses(s, d, True, labelled=True))
-
-
 def json_field_scan(s: SparkSession, d: str) -> DataFrame:
     value = F.try_variant_get(F.try_parse_json("props"), "$.k", "long")
     return read_table(s, d, "events").select("event_id", value.alias("k")).groupBy("k").agg(F.count("*").alias("n_events"))
@@ -213,7 +203,7 @@ def file_suffixes(s: SparkSession, d: str) -> DataFrame:
 _NAMES = (
     strip_unicode, truncate_ends, placeholder_fallback, round_exact, cue_seconds, word_tokens_rle, word_timing, nested_sum, greedy_segments, segment_rate_filter, contiguous_tiling,
     overlap_windows, frame_plan, dense_ordinal, stride_shard, shuffle_seeded, union_ordered, prefix_limit, group_limit, verdict_parse, verdict_tally, delete_plan, qa_parse_numbered,
-    qa_parse_loose, qa_parse_numbered_whole, qa_parse_loose_whole, json_field_scan, type_audit, type_audit_first, file_suffixes,
+    qa_parse_loose, json_field_scan, type_audit, type_audit_first, file_suffixes,
 )
 QUERIES = {f.__name__: f for f in _NAMES}
 
@@ -237,9 +227,6 @@ _SEG = """WITH RECURSIVE ev AS (SELECT user_id, event_id, CAST(floor(epoch_us(ts
  seg AS (SELECT w.user_id, a.event_id AS first_id, z.event_id AS last_id, a.t AS start_t, z.t AS end_t, w.j - w.i AS n_rows FROM walk w
    JOIN r a ON a.user_id = w.user_id AND a.i = w.i JOIN r z ON z.user_id = w.user_id AND z.i = w.j - 1 WHERE z.t - a.t >= 21600)
 """
-_RESPONSES = f"""resp AS (SELECT qa_id, question, answer FROM clip_qa_pairs WHERE coalesce({sql_strip("question")}, '') <> '' AND coalesce({sql_strip("answer")}, '') <> ''
- AND NOT regexp_matches(question, '问题?\\s*\\d*\\s*[：:]|答案?\\s*\\d*\\s*[：:]|[QA]\\s*[：:]') AND NOT regexp_matches(answer, '问题?\\s*\\d*\\s*[：:]|答案?\\s*\\d*\\s*[：:]|[QA]\\s*[：:]'))"""
-
 
 def _parse_sql(response: str) -> str:
     """The label parser over all non-blank pairs. A mark set before each label stands for the lookahead that RE2 lacks."""
@@ -302,10 +289,8 @@ SQL = {
     "verdict_parse": f"WITH {_ANSWERS} SELECT doc_id, ({_contains('low', V.AFFIRMING)} AND NOT {_contains('low', V.NEGATING)}) OR ({_contains('low', V.GAME_WORDS)} AND NOT {_contains('low', V.NEGATING + V.OTHER_GAMES)}) AS legacy, {_STRICT} AS strict, {_HEAD} AS reason FROM (SELECT *, lower(answer) AS low FROM answers)",
     "verdict_tally": f"WITH {_ANSWERS} SELECT {_STRICT} AS verdict, count(*) AS n_videos FROM answers GROUP BY 1",
     "delete_plan": f"WITH {_ANSWERS} SELECT path, regexp_replace(path, '\\.mp4$', '.json') AS sidecar, lang IS NOT NULL AS exists FROM answers WHERE contains({_HEAD}, '{V.DENIAL}')",
-    "qa_parse_numbered": f"WITH {_RESPONSES} SELECT qa_id, 0 AS at, '第一' AS question, {sql_strip('answer')} AS answer FROM resp UNION ALL SELECT qa_id, 1, {sql_strip('question')}, {sql_strip('answer')} FROM resp",
-    "qa_parse_loose": f"WITH {_RESPONSES} SELECT qa_id, 0 AS at, {sql_strip('question')} AS question, {sql_strip('answer')} AS answer FROM resp",
-    "qa_parse_numbered_whole": _parse_sql(_NUMBERED_RESPONSE),
-    "qa_parse_loose_whole": _parse_sql(_LOOSE_RESPONSE),
+    "qa_parse_numbered": _parse_sql(_NUMBERED_RESPONSE),
+    "qa_parse_loose": _parse_sql(_LOOSE_RESPONSE),
     "json_field_scan": "SELECT TRY_CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS n_events FROM events GROUP BY 1",
     "type_audit": f"WITH {_TYPED} SELECT is_bad, count(*) AS n_rows, min(event_id) AS first_id FROM typed GROUP BY 1",
     "type_audit_first": f"WITH {_TYPED} SELECT event_id FROM typed WHERE is_bad ORDER BY event_id LIMIT 50",
