@@ -33,6 +33,7 @@ BITS = 20
 MARKS = "。．.!！?？…‥"
 _CLOSERS = "”\"’'）)」』】》〉]］}｝*_~～`"
 _OMISSION = re.compile(r"(?:…+|‥+|\.{3,}|。{3,}|·{3,}|⋯+|—{2,}|\[(?:…|\.\.\.)\]|（(?:…|\.\.\.)）|\(\.\.\.\))\s*$")
+_OMITTING = tuple("…‥.。·⋯—])）")
 _TAG = re.compile(r"(?:\s*[#＃@][\w·-]+)+\s*$")
 _LATIN = re.compile(r"[A-Za-zÀ-ɏ][A-Za-zÀ-ɏ_]*")
 _NAME = re.compile(r"\b[A-Z][a-z]{3,}[a-z_]*\d*\b")
@@ -52,11 +53,11 @@ def strip_wrapping(text: str) -> tuple[str, bool, str]:
     omitted = False
     while True:
         before = t
-        t = _TAG.sub("", t).rstrip()
-        while t and (t[-1] in _CLOSERS or unicodedata.category(t[-1]) in ("So", "Sk", "Mn", "Cf", "Cs") and t[-1] != "�"):
+        if "#" in t or "＃" in t or "@" in t:
+            t = _TAG.sub("", t).rstrip()
+        while t and not t[-1].isalnum() and (t[-1] in _CLOSERS or unicodedata.category(t[-1]) in ("So", "Sk", "Mn", "Cf", "Cs") and t[-1] != "�"):
             t = t[:-1].rstrip()
-        cut = _OMISSION.sub("", t)
-        if cut != t:
+        if t[-1:] in _OMITTING and (cut := _OMISSION.sub("", t)) != t:
             t, omitted = cut.rstrip(), True
         if t == before:
             break
