@@ -13,7 +13,7 @@ from cliplake.llm.qadefects import qa_defects
 from cliplake.llm.repetition import repetition
 from cliplake.llm.splits import split_related, video_groups
 from cliplake.llm.truncation import truncated
-from cliplake.llm.turns import speaker_turns
+from cliplake.llm.turns import speaker_turns, turn_words
 from cliplake.session import read_table
 
 
@@ -23,7 +23,8 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return speaker_turns(read_table(spark, sf_dir, "subtitle_cues"), read_table(spark, sf_dir, "speaker_roster"))
+    """The turns' words; a long turn comes in parts."""
+    return turn_words(read_table(spark, sf_dir, "subtitle_cues"), read_table(spark, sf_dir, "speaker_roster"))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from cliplake.llm.turns import combine_runs, name_key, parse_cue, speaker_turns
+from cliplake.llm.turns import combine_runs, name_candidates, name_key, parse_cue, roster_names, speaker_turns, turn_words
 
 ROSTER = [("s1", "解说阿岚", ["阿岚", "Caster Lan"]), ("s2", "Player Bo", ["TV", None]), ("s3", "Solo", None)]
 NAMES = {name_key(n): i for i, d, a in ROSTER for n in [d, *(a or [])] if n}
@@ -90,15 +90,39 @@ def test_turns_equal_brute_force_with_a_hot_video(spark, seed, partitions):
     roster = spark.createDataFrame(ROSTER, ROSTER_DDL)
     got = {(r.video_id, r.speaker_id, r.first_cue_id, r.last_cue_id) for r in speaker_turns(df, roster, partitions).collect()}
     assert got == brute(rows)
+    if seed == 0:
+        # a roster too large for the tasks is joined by name
+        joined = {(r.video_id, r.speaker_id, r.first_cue_id, r.last_cue_id) for r in speaker_turns(df, roster, partitions, max_names=1).collect()}
+        assert joined == got
+        parts = turn_words(df, roster, partitions, part_cues=3).collect()
+        assert max(p.n_cues for p in parts) == 3
+        turns = {}
+        for p in sorted(parts, key=lambda p: (p.start_ms, p.part_cue_id)):
+            v, sp, first, last, n, words = turns.get((p.video_id, p.first_cue_id), (p.video_id, p.speaker_id, p.first_cue_id, None, 0, ""))
+            turns[p.video_id, p.first_cue_id] = (v, p.speaker_id, first, p.last_cue_id, n + p.n_cues, words + p.words)
+        whole = {(r.video_id, r.first_cue_id): r.n_cues for r in speaker_turns(df, roster, partitions).collect()}
+        assert {t[:4] for t in turns.values()} == got and {k: t[4] for k, t in turns.items()} == whole
+
+
+def test_candidates_hold_every_name_that_matters():
+    rng = random.Random(5)
+    bits = ["阿岚", "TV", "Solo", "：", ": ", "[", "]", "（", "）", "<v ", ">", "00:01:02", " - ", "走", " ", "vTV", "嗯", "说："]
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 9)))
+        names = {k: k for k in rng.sample(["阿岚", "tv", "solo", "vtv", "走", "阿岚tv", "嗯"], 3)}
+        few = {k: names[k] for k in name_candidates(text) if k in names}
+        assert parse_cue(text, few) == parse_cue(text, names), text
 
 
 def test_empty_tables_and_words(spark):
     roster, cues = spark.createDataFrame(ROSTER, ROSTER_DDL), spark.createDataFrame([], CUES_DDL)
     assert speaker_turns(cues, roster).count() == 0
+    assert turn_words(cues, roster).count() == 0
     df = spark.createDataFrame([(1, "v", "阿岚：走", 0, 5, "", "", 0), (2, "v", "go " * 5000, 3, 9, "", "", 0)], CUES_DDL)
-    (turn,) = speaker_turns(df, roster).collect()
-    assert turn.words.startswith("走 go go") and (turn.start_ms, turn.end_ms, turn.n_cues) == (0, 9, 2)
-    (unknown,) = speaker_turns(df, roster.where("false")).where("first_cue_id = 1").collect()
+    (turn,) = speaker_turns(df, roster, 1).collect()
+    (words,) = turn_words(df, roster, 1).collect()
+    assert words.words.startswith("走 go go") and (turn.start_ms, turn.end_ms, turn.n_cues) == (0, 9, 2)
+    (unknown,) = turn_words(df, roster.where("false"), 1).where("first_cue_id = 1").collect()
     assert unknown.speaker_id == "unknown" and unknown.words.startswith("阿岚：走")
 
 
@@ -107,8 +131,7 @@ def test_combined_runs():
     assert combine_runs(runs) == {1: ("v", "a", 10), 2: ("v", "a", 10), 3: ("v", "a", 10), 4: ("v", "b", 13)}
 
 
-def test_roster_bound(spark):
-    from cliplake.llm.turns import roster_names
-
-    with pytest.raises(ValueError):
-        roster_names(spark.createDataFrame(ROSTER, ROSTER_DDL), max_names=2)
+def test_names_shared_by_entries_go_to_the_smallest_id(spark):
+    rows = [("b", "Max", ["M X", None]), ("a", "max", None), (None, "Zed", []), ("c", None, ["Ｍx"])]
+    got = {r.key: r.speaker for r in roster_names(spark.createDataFrame(rows, "speaker_id string, display_name string, aliases array<string>")).collect()}
+    assert got == {"max": "a", "mx": "b"}
