@@ -38,6 +38,13 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling with the smallest one of its group and its number of clips."""
+    groups = video_groups(read_table(spark, sf_dir, "clip_descriptions_copy"), read_table(spark, sf_dir, "video_sources"))
+    first = groups.groupBy("component").agg(F.min("video_id").alias("video_a"))
+    return groups.join(first, "component").select("video_id", "video_a", F.col("n").alias("n_clips"))
+
+
 def p1_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = split_related(read_table(spark, sf_dir, "clip_descriptions_copy"), read_table(spark, sf_dir, "video_sources"))
     return rows.select("row_id", "video_id", "clip_number", "component", "split")
@@ -158,6 +165,7 @@ def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found,
+    "p1_groups": p1_groups,
     "p1_split": p1_split,
     "p2_found": p2_found,
     "p2_turns": p2_turns,
@@ -208,10 +216,7 @@ _HELD = f"""items AS (SELECT item_id, {_alnum("text")} AS t FROM eval_passages),
  met AS (SELECT doc_id, item_id, count(*) AS k FROM held JOIN grams USING (g) GROUP BY ALL),
  leaks AS (SELECT doc_id, item_id, k::DOUBLE / n AS share FROM met JOIN sizes USING (item_id) WHERE k >= 0.4 * n)"""
 
-SQL: dict[str, str] = {
-    "p9_found": f"WITH {_HELD} SELECT doc_id, item_id FROM leaks",
-    "p9_items": f"""WITH {_HELD} SELECT p.item_id, p.suite, count(doc_id) AS n_documents, round(coalesce(max(share), 0.0), 6) AS most_contained FROM eval_passages p LEFT JOIN leaks USING (item_id) GROUP BY ALL""",
-    "p1_found": f"""WITH RECURSIVE src AS (
+_TIED = f"""src AS (
   SELECT 'v:' || {_key("video_id")} AS v, CASE WHEN {_written("reupload_of")} THEN 'v:' || {_key("reupload_of")} END AS r,
     CASE WHEN {_written("uploader")} THEN 'u:' || lower(regexp_replace(uploader, '^{_W}+|{_W}+$', '', 'g')) END AS u FROM video_sources WHERE {_written("video_id")}),
  clips AS (SELECT DISTINCT video_id, 'v:' || {_key("video_id")} AS v FROM clip_descriptions_copy WHERE {_written("video_id")}),
@@ -219,15 +224,26 @@ SQL: dict[str, str] = {
  edges AS (SELECT a, b FROM one UNION SELECT b, a FROM one),
  reach AS (SELECT DISTINCT v AS x, v AS y FROM clips UNION SELECT reach.x, edges.b FROM reach JOIN edges ON edges.a = reach.y),
  comp AS (SELECT x, min(y) AS c FROM reach GROUP BY x),
- named AS (SELECT clips.video_id, min(clips.video_id) OVER (PARTITION BY comp.c) AS video_a FROM clips JOIN comp ON comp.x = clips.v)
-SELECT DISTINCT video_a, video_id AS video_b FROM named WHERE video_id <> video_a""",
-    "p3_found": f"""WITH recs AS (
+ named AS (SELECT clips.video_id, min(clips.video_id) OVER (PARTITION BY comp.c) AS video_a FROM clips JOIN comp ON comp.x = clips.v)"""
+_NEAR = f"""recs AS (
   SELECT 'clip' AS src, row_id AS rec, {_dense("description")} AS t FROM clip_descriptions_copy
   UNION ALL SELECT 'pair', pair_id, {_dense("current_clip.description")} FROM clip_pairs_all),
  grams AS (SELECT DISTINCT src, rec, g FROM (SELECT src, rec, unnest(list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) AS g FROM recs WHERE length(t) >= 40)),
  sizes AS (SELECT src, rec, count(*) AS n FROM grams GROUP BY ALL),
- met AS (SELECT x.src, x.rec AS a, y.rec AS b, count(*) AS k FROM grams x JOIN grams y ON x.src = y.src AND x.g = y.g AND x.rec < y.rec GROUP BY ALL)
-SELECT met.src, a AS rec_a, b AS rec_b FROM met JOIN sizes p ON p.src = met.src AND p.rec = a JOIN sizes q ON q.src = met.src AND q.rec = b WHERE k >= 0.7 * (p.n + q.n - k)""",
+ met AS (SELECT x.src, x.rec AS a, y.rec AS b, count(*) AS k FROM grams x JOIN grams y ON x.src = y.src AND x.g = y.g AND x.rec < y.rec GROUP BY ALL),
+ pairs AS (SELECT met.src, a AS rec_a, b AS rec_b FROM met JOIN sizes p ON p.src = met.src AND p.rec = a JOIN sizes q ON q.src = met.src AND q.rec = b WHERE k >= 0.7 * (p.n + q.n - k))"""
+_CLASSES = """sides AS (SELECT src, rec_a AS a, rec_b AS b FROM pairs UNION SELECT src, rec_b, rec_a FROM pairs),
+ joined AS (SELECT DISTINCT src, a AS rec, a AS y FROM sides UNION SELECT j.src, j.rec, sides.b FROM joined j JOIN sides ON sides.src = j.src AND sides.a = j.y),
+ classes AS (SELECT src, rec, min(y) AS group_id FROM joined GROUP BY ALL)"""
+
+SQL: dict[str, str] = {
+    "p9_found": f"WITH {_HELD} SELECT doc_id, item_id FROM leaks",
+    "p9_items": f"""WITH {_HELD} SELECT p.item_id, p.suite, count(doc_id) AS n_documents, round(coalesce(max(share), 0.0), 6) AS most_contained FROM eval_passages p LEFT JOIN leaks USING (item_id) GROUP BY ALL""",
+    "p1_found": f"WITH RECURSIVE {_TIED} SELECT DISTINCT video_a, video_id AS video_b FROM named WHERE video_id <> video_a",
+    "p1_groups": f"WITH RECURSIVE {_TIED}, sizes AS (SELECT video_id, count(*) AS n_clips FROM clip_descriptions_copy GROUP BY 1) SELECT video_id, video_a, n_clips FROM named JOIN sizes USING (video_id)",
+    "p3_found": f"WITH {_NEAR} SELECT src, rec_a, rec_b FROM pairs",
+    "p3_groups": f"WITH RECURSIVE {_NEAR}, {_CLASSES} SELECT src, rec, group_id FROM classes",
+    "p3_link_counts": f"WITH RECURSIVE {_NEAR}, {_CLASSES} SELECT src, rec, group_id, n_links FROM classes JOIN (SELECT src, a AS rec, count(*) AS n_links FROM sides GROUP BY src, a) USING (src, rec)",
     "p4_shares": f"""SELECT row_id, length(t) AS n_chars, CASE WHEN length(t) >= 8 THEN round(1 - len(list_distinct(list_transform(range(1, length(t) - 6), lambda i: substr(t, i, 8))))::DOUBLE / (length(t) - 7), 9) ELSE 0.0 END AS repeat_share
 FROM (SELECT row_id, coalesce({_dense("description")}, '') AS t FROM clip_descriptions_copy)""",
     "p4_found": f"""SELECT row_id FROM (SELECT row_id, {_dense("description")} AS t FROM clip_descriptions_copy)

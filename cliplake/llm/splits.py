@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from cliplake.llm.components import components
 from cliplake.session import cut_lineage, table_partitions, write_out
 
-SALTS = 16
+#: Ties that one node has at most: a more popular uploader or original gets as many sub-nodes as that takes.
+FAN = 10_000
 HUGE_SHARE = 0.01
 HOT_ONE_IN = 64
 
@@ -45,25 +46,33 @@ def _clip_nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out[out["node"].notna()]
 
 
-def video_groups(clips: DataFrame, sources: DataFrame, small_edges: int | None = None) -> DataFrame:
+def spread_hubs(ties: DataFrame, fan: int = FAN) -> DataFrame:
+    """Edges (a, b) of the ties (node, hub); a hub of over ``fan`` ties is reached through sub-nodes.
+
+    The hubs that need them are few (the ties over ``fan``) and written out, so that their join is planned from
+    their true number.
+    """
+    degrees = ties.groupBy(F.col("hub").alias("busy")).agg(F.count("*").alias("n")).where(F.col("n") > fan)
+    busy = write_out(degrees.select("busy", F.ceil(F.col("n") / fan).cast("int").alias("salts")))
+    salt = F.pmod(F.xxhash64("node"), F.col("salts")).cast("string")
+    sub = F.concat(F.lit("s:"), "hub", F.lit(" "), salt)
+    placed = ties.join(busy, F.col("hub") == F.col("busy"), "left").select("node", "hub", F.when(F.col("salts").isNotNull(), sub).alias("sub"))
+    return placed.select(F.col("node").alias("a"), F.coalesce("sub", "hub").alias("b")).union(placed.where("sub is not null").select("sub", "hub").distinct())
+
+
+def video_groups(clips: DataFrame, sources: DataFrame, small_edges: int | None = None, fan: int = FAN) -> DataFrame:
     """(video_id, component, n) of each distinct non-blank spelling in ``clips``, n being its rows.
 
-    Videos are tied by equal normalised spelling, by ``reupload_of`` and by uploader, transitively. An
-    uploader's videos hang on salted sub-nodes of the uploader's node, so that no adjacency list is long.
-    Null and blank ids, uploaders and reuploads tie nothing.
+    Videos are tied by equal normalised spelling, by ``reupload_of`` and by uploader, transitively. No adjacency
+    list of an uploader or original is longer than ``fan``. Null and blank ids, uploaders and reuploads tie nothing.
     """
     text = lambda df, *names: df.select(*(F.col(c).cast("string").alias(c) for c in names))
     spelled = text(clips, "video_id").where("video_id is not null").groupBy("video_id").agg(F.count("*").alias("n"))
     used = write_out(spelled.mapInPandas(_clip_nodes, "video_id string, n long, node string"))
     listed = write_out(text(sources, "video_id", "uploader", "reupload_of").mapInPandas(_source_nodes, "node string, other string, u string").where("node is not null"))
-    hub = F.concat("u", F.lit("#"), F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("string"))
-    ties = listed.where("u is not null").select("u", "node", hub.alias("hub"))
-    edges = (
-        listed.select(F.col("node").alias("a"), F.coalesce("other", "node").alias("b"))
-        .union(ties.select(F.col("hub").alias("a"), F.col("node").alias("b")))
-        .union(ties.select(F.col("u").alias("a"), F.col("hub").alias("b")))
-        .union(used.select(F.col("node").alias("a"), F.col("node").alias("b")))
-    )
+    ties = listed.where("u is not null").select("node", F.col("u").alias("hub")).union(listed.where("other is not null").select("node", F.col("other").alias("hub")))
+    own = listed.select("node").union(used.select("node"))
+    edges = spread_hubs(ties, fan).union(own.select(F.col("node").alias("a"), F.col("node").alias("b")))
     found = components(edges) if small_edges is None else components(edges, small_edges)
     return used.join(found, "node").select("video_id", "component", "n")
 
@@ -138,8 +147,12 @@ def split_related(
     # a hot video's rows meet their split in place: at most HOT_ONE_IN videos are hot
     is_hot = F.col("n") * HOT_ONE_IN > max(total, 1)
     hot = F.broadcast(by_video.where(is_hot).drop("n"))
-    warm = base.join(hot, "video_id")
-    rest = base.join(F.broadcast(by_video.where(is_hot).select("video_id")), "video_id", "left_anti").join(by_video.where(~is_hot).drop("n"), "video_id", "left")
+    # rows without a video are no key of any join
+    written = F.coalesce(F.col("video_id").cast("string").rlike(r"(?U)[^\s\x1c-\x1f]"), F.lit(False))
+    named, nameless = base.where(written), base.where(~written).withColumns({"component": F.lit(None).cast("string"), "split": F.lit(None).cast("string")})
+    warm = named.join(hot, "video_id")
+    cool = named.join(F.broadcast(by_video.where(is_hot).select("video_id")), "video_id", "left_anti").join(by_video.where(~is_hot).drop("n"), "video_id", "left")
+    rest = cool.unionByName(nameless)
     own = F.concat(F.lit("row:"), F.coalesce(F.col("row_id").cast("string"), F.lit("")))
     draw = F.pmod(F.xxhash64(own, F.lit(seed)), F.lit(1_000_000)) / 1_000_000
     edge, drawn = 1.0, F.lit(names[-1])

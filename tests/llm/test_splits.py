@@ -3,7 +3,7 @@ import random
 import pytest
 
 from cliplake.llm.components import components
-from cliplake.llm.splits import split_related, video_groups, video_key
+from cliplake.llm.splits import split_related, spread_hubs, video_groups, video_key
 
 
 def brute(edges):
@@ -82,6 +82,37 @@ def test_groups_and_splits(spark):
     assert again == {(r.row_id, r.split) for r in out}
 
 
+def test_hubs_of_any_degree(spark):
+    rng = random.Random(7)
+    ties = [(f"v:{k}", rng.choice(["u:big", "u:big", "v:0", f"u:{k % 9}"])) for k in range(400)]
+    edges = spread_hubs(spark.createDataFrame(ties, "node string, hub string"), fan=10)
+    rows = [(r.a, r.b) for r in edges.collect()]
+    near = {}
+    for a, b in rows:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    assert max(len(x) for x in near.values()) <= 30  # salts are drawn by hash, so a list is about as long as fan
+    wanted, got = brute(ties), brute(rows)
+    nodes = [n for t in ties for n in t]
+    for a in nodes[:60]:
+        assert all((got[a] == got[b]) == (wanted[a] == wanted[b]) for b in nodes[:60])
+    # through the whole operator: sub-nodes change no group
+    clips, sources, *_ = related(spark)
+    plain = {r.video_id: r.component for r in video_groups(clips, sources).collect()}
+    spread = {r.video_id: r.component for r in video_groups(clips, sources, fan=2).collect()}
+    assert plain.keys() == spread.keys() and len(set(zip(plain.values(), (spread[v] for v in plain), strict=True))) == len(set(plain.values())) == len(set(spread.values()))
+
+
+@pytest.mark.parametrize("nameless", [None, "", " 　"])
+def test_a_third_of_the_rows_without_a_video(spark, nameless):
+    rows = [(k, nameless if k % 3 == 0 else f"v{k % 50}", 1, None, None, 0) for k in range(900)]
+    df = spark.createDataFrame(rows, CLIPS)
+    out = split_related(df, spark.createDataFrame([], SOURCES))
+    got = out.select("row_id", "video_id", "component", "split").collect()
+    assert len(got) == 900 and len({r.component for r in got if r.video_id == nameless}) == 300
+    assert all(len({r.split for r in got if r.video_id == v}) == 1 for v in {f"v{k}" for k in range(50)})
+
+
 def test_empty_tables(spark):
     clips, sources = spark.createDataFrame([], CLIPS), spark.createDataFrame([], SOURCES)
     assert video_groups(clips, sources).count() == 0 and split_related(clips, sources).count() == 0
