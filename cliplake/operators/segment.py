@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
+from bisect import bisect_right
+from collections import deque
 from collections.abc import Iterator
+from dataclasses import dataclass
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,92 +84,141 @@ def commentary_clips(video: DataFrame, longest: float = 15, gap: float = 2, leas
     return kept.drop("at")
 
 
-def _session_rows(gap: int):
-    """Tags sorted rows (pid, key, t, id) with the start of their gap-free session, as far as the partition knows."""
+@dataclass
+class _Open:
+    """The segment that is open behind a row: its first row, its rows so far, and the last one."""
+
+    key: object
+    start_t: int
+    start_id: int
+    rows: int
+    last_t: int
+    last_id: int
+
+
+def _transfer(longest: int, gap: int):
+    """One row per sorted partition: how the open segment before it becomes the one behind it.
+
+    A gap or a new key forgets what came before. Up to there, only the row that makes the first cut matters, and
+    that lies within ``longest`` of the partition's first row: chains of cuts are followed from each such row at
+    once, and merge where they cut at the same row. A partition holds as many chains as rows fit in ``longest``.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key = t = label = None
+        n, pure, first, key, t, ident = 0, True, None, None, 0, 0
+        chains: deque[tuple[int, int, int, list[int]]] = deque()  # start time, id and place, the first cuts that lead here
+        cuts: list[int] = []  # times of the possible first cuts
+        start = (0, 0, 0)
+        pid = 0
         for pdf in batches:
-            if pdf.empty:
-                continue
-            keys, times = pdf["key"].to_numpy(), pdf["t"].to_numpy(np.int64)
-            fresh = np.ones(len(pdf), bool)
-            fresh[1:] = (keys[1:] != keys[:-1]) | (times[1:] - times[:-1] > gap)
-            if key is not None and keys[0] == key and times[0] - t <= gap:
-                fresh[0] = False
-            at = np.maximum.accumulate(np.where(fresh, np.arange(len(pdf)), -1))
-            labels = np.where(at >= 0, times[np.maximum(at, 0)], label if label is not None else 0)
-            key, t, label = keys[-1], int(times[-1]), int(labels[-1])
-            yield pdf.assign(session=labels)
+            for pid, k, x, i in zip(pdf["pid"], pdf["key"], pdf["t"], pdf["id"], strict=True):
+                if n and (k != key or x - t > gap):
+                    pure, start = False, (x, i, n)
+                    chains.clear()
+                elif pure:
+                    here: list[int] = []
+                    while chains and x - chains[0][0] > longest:
+                        here += chains.popleft()[3]
+                    if not n or t - first[1] <= longest:
+                        here.append(len(cuts))
+                        cuts.append(x)
+                    if here:
+                        chains.append((x, i, n, here))
+                elif x - start[0] > longest:
+                    start = (x, i, n)
+                first = first or (k, x)
+                key, t, ident, n = k, x, i, n + 1
+        if n:
+            ends = [start] * (1 if not pure else len(cuts))
+            for x, i, at, leads in chains:
+                for c in leads:
+                    ends[c] = (x, i, at)
+            yield pd.DataFrame(
+                [(pid, first[0], first[1], pure, key, t, ident, n, cuts if pure else [], [e[0] for e in ends], [e[1] for e in ends], [n - e[2] for e in ends])],
+                columns=["pid", "first_key", "first_t", "pure", "last_key", "last_t", "last_id", "n", "cuts", "start_t", "start_id", "since"],
+            )
 
     return run
 
 
-def sessions(df: DataFrame, key: str, time: str, ident: str, gap: int, partitions: int | None = None) -> DataFrame:
-    """(key, t, id, session, is_last): rows of a key whose times differ by at most ``gap`` share a session.
-
-    ``session`` is the session's first time. Rows are range-sorted by (key, time, id); sessions that cross a
-    partition border are joined through one summary row per partition. Null keys and times are left out.
-    """
-    spark = df.sparkSession
-    rows = df.select(F.col(key).alias("key"), F.col(time).cast("long").alias("t"), F.col(ident).cast("long").alias("id")).where("key is not null and t is not null")
-    kind = dict(rows.dtypes)["key"]
-    ranged = rows.repartitionByRange(partitions or table_partitions(spark), "key", "t", "id").sortWithinPartitions("key", "t", "id")
-    tagged = cut_lineage(
-        ranged.withColumn("pid", F.spark_partition_id()).mapInPandas(_session_rows(gap), f"key {kind}, t long, id long, pid int, session long")
-    )
-    ends = tagged.groupBy("pid").agg(F.min(F.struct("key", "t", "id", "session")).alias("lo"), F.max(F.struct("key", "t", "id", "session")).alias("hi"))
-    renamed, state = [], None
-    for r in sorted(ends.collect(), key=lambda r: r.pid):  # one row per partition
-        joins = state is not None and state[0] == r.lo.key and r.lo.t - state[1] <= gap
-        if joins and state[2] != r.lo.session:
-            renamed.append((r.pid, r.lo.key, r.lo.session, state[2]))
-        same = joins and (r.hi.key, r.hi.session) == (r.lo.key, r.lo.session)
-        state = (r.hi.key, r.hi.t, state[2] if same else r.hi.session)
-    fix = spark.createDataFrame(renamed, f"pid int, key {kind}, session long, joined long")
-    last = rows.groupBy("key").agg(F.max(F.struct("t", "id")).alias("z")).select("key", "z.t", "z.id", F.lit(True).alias("is_last"))
-    out = tagged.join(F.broadcast(fix), ["pid", "key", "session"], "left").withColumn("session", F.coalesce("joined", "session"))
-    return out.join(last, ["key", "t", "id"], "left").select("key", "t", "id", "session", F.coalesce("is_last", F.lit(False)).alias("is_last"))
-
-
-def greedy_segments(df: DataFrame, key: str, time: str, ident: str, longest: int, gap: int, least: int) -> DataFrame:
+def carry_segments(summaries: list, longest: int, gap: int) -> tuple[dict[int, _Open], dict[int, object]]:
+    """The segment that is open before each partition, and the first key behind it, from the partitions' summaries."""
+    carried: dict[int, _Open] = {}
+    following: dict[int, object] = {}
+    state: _Open | None = None
+    before = None
+    for r in sorted(summaries, key=lambda r: r.pid):
+        if before is not None:
+            following[before] = r.first_key
+        before = r.pid
+        goes_on = state is not None and state.key == r.first_key
+        if goes_on:
+            carried[r.pid] = state
+        joins = goes_on and r.first_t - state.last_t <= gap
+        at = bisect_right(r.cuts, state.start_t + longest) if r.pure and joins else 0
+        if r.pure and joins and at == len(r.cuts):
+            state = _Open(state.key, state.start_t, state.start_id, state.rows + r.n, r.last_t, r.last_id)
+        else:
+            state = _Open(r.last_key, r.start_t[at], r.start_id[at], r.since[at], r.last_t, r.last_id)
+    return carried, following
+
+
+def greedy_segments(df: DataFrame, key: str, time: str, ident: str, longest: int, gap: int, least: int, partitions: int | None = None) -> DataFrame:
     """(key, first_id, last_id, start_t, end_t, n_rows) of every kept segment of timed rows.
 
-    As :func:`greedy_cuts` over a key's rows by (time, id). A gap always closes, so the rows are folded by
-    gap-free session, which bounds what one task holds, not by key. Rows that tie in all of them are one by one.
+    As :func:`greedy_cuts` over a key's rows by (time, id). Rows are range-sorted over all partitions and no key
+    is gathered: each task carries its open segment only, and what is open before a task comes from one summary
+    per partition. Null keys, times and ids are left out; rows that tie in all of them are one by one.
     """
+    spark = df.sparkSession
     kind = dict(df.dtypes)[key]
-
     columns = ["key", "first_id", "last_id", "start_t", "end_t", "n_rows"]
+    rows = df.select(F.col(key).alias("key"), F.col(time).cast("long").alias("t"), F.col(ident).cast("long").alias("id")).where("key is not null and t is not null and id is not null")
+    ranged = rows.repartitionByRange(partitions or table_partitions(spark), "key", "t", "id").sortWithinPartitions("key", "t", "id")
+    placed = cut_lineage(ranged.withColumn("pid", F.spark_partition_id()))
+    summary = f"pid int, first_key {kind}, first_t long, pure boolean, last_key {kind}, last_t long, last_id long, n long, cuts array<long>, start_t array<long>, start_id array<long>, since array<long>"
+    carried, following = carry_segments(placed.mapInPandas(_transfer(longest, gap), summary).collect(), longest, gap)  # one row per partition
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, t, ids, last = None, [], [], False
-
-        def close() -> list[tuple]:
-            return [(at[0], ids[i], ids[j - 1], t[i], t[j - 1], j - i) for i, j in greedy_cuts(t, longest, gap, least, last_open=last)]
+        state: _Open | None = None
+        waiting = pid = None
+
+        def meet(row: tuple, is_last: bool) -> list[tuple]:
+            nonlocal state
+            k, x, i = row
+            if state is None or state.key != k:
+                state = _Open(k, x, i, 1, x, i)
+                return []
+            done = []
+            if is_last or x - state.start_t > longest or x - state.last_t > gap:
+                if state.last_t - state.start_t >= least:
+                    done.append((k, state.start_id, state.last_id, state.start_t, state.last_t, state.rows))
+                state = _Open(k, x, i, 1, x, i)
+            else:
+                state.rows, state.last_t, state.last_id = state.rows + 1, x, i
+            return done
 
         for pdf in batches:
             out = []
-            for k, session, x, ident, end in zip(pdf["key"], pdf["session"], pdf["t"], pdf["id"], pdf["is_last"], strict=True):
-                if (k, session) != at:
-                    out += close() if at is not None else []
-                    at, t, ids, last = (k, session), [], [], False
-                t.append(x)
-                ids.append(ident)
-                last = last or end
+            for pid, *row in zip(pdf["pid"], pdf["key"], pdf["t"], pdf["id"], strict=True):
+                if waiting is None:
+                    state = carried.get(int(pid))
+                else:
+                    out += meet(waiting, waiting[0] != row[0])
+                waiting = tuple(row)
             if out:
                 yield pd.DataFrame(out, columns=columns)
-        if at is not None and (out := close()):
+        if waiting is not None and (out := meet(waiting, following.get(int(pid)) != waiting[0])):
             yield pd.DataFrame(out, columns=columns)
 
-    rows = sessions(df, key, time, ident, gap).repartition("key", "session").sortWithinPartitions("key", "session", "t", "id")
-    out = rows.mapInPandas(fold, f"key {kind}, first_id long, last_id long, start_t long, end_t long, n_rows long")
+    out = placed.mapInPandas(fold, f"key {kind}, first_id long, last_id long, start_t long, end_t long, n_rows long")
     return out.withColumnRenamed("key", key)
 
 
-def tile_draw(seed: int, key: str, k: int) -> float:
+def tile_draw(seed: int, key: Column, k: Column) -> Column:
     """The k-th uniform draw of a key."""
-    return int(hashlib.md5(f"{seed}:{key}:{k}".encode()).hexdigest()[:8], 16) / 4294967296.0
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"), F.lit(":"), k.cast("string")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / 4294967296.0
 
 
 def contiguous_tiles(df: DataFrame, key: str, duration: str, least: float = 6.0, most: float = 15.0, seed: int = 42) -> DataFrame:
@@ -177,21 +227,21 @@ def contiguous_tiles(df: DataFrame, key: str, duration: str, least: float = 6.0,
     Draws come from a hash of seed, key and tile number, so that a rerun gives the same tiles. Null keys and
     durations give no tile.
     """
-    kind = dict(df.dtypes)[key]
+    kind = "array<double>"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for name, whole in zip(pdf["key"], pdf["duration"], strict=True):
-                at, k = 0.0, 1
-                while whole - at >= least:
-                    size = least + tile_draw(seed, str(name), k) * (min(most, whole - at) - least)
-                    out.append((name, k, at, at + size))
-                    at, k = at + size, k + 1
-            yield pd.DataFrame(out, columns=["key", "tile", "start_time", "end_time"])
+    def step(ends: Column, k: Column) -> Column:
+        at = F.element_at(ends, -1)
+        room = F.col("duration") - at
+        size = F.lit(least) + tile_draw(seed, F.col("key"), k) * (F.least(F.lit(most), room) - F.lit(least))
+        return F.when(room >= least, F.concat(ends, F.array(at + size))).otherwise(ends)
 
     rows = df.select(F.col(key).alias("key"), F.col(duration).cast("double").alias("duration")).where("key is not null and duration is not null")
-    return rows.mapInPandas(run, f"key {kind}, tile int, start_time double, end_time double").withColumnRenamed("key", key)
+    rounds = F.greatest(F.floor(F.col("duration") / least), F.lit(0)).cast("int")  # no tile is shorter than ``least``
+    numbers = F.when(rounds > 0, F.sequence(F.lit(1), rounds)).otherwise(F.array().cast("array<int>"))
+    ends = F.aggregate(numbers, F.array(F.lit(0.0)).cast(kind), step)
+    tiles = F.arrays_zip(F.slice(ends, F.lit(1), F.greatest(F.size(ends) - 1, F.lit(0))).alias("a"), F.slice(ends, F.lit(2), F.size(ends)).alias("b"))
+    flat = rows.select("key", F.posexplode(tiles).alias("at", "x"))
+    return flat.select(F.col("key").alias(key), (F.col("at") + 1).alias("tile"), F.col("x.a").alias("start_time"), F.col("x.b").alias("end_time"))
 
 
 def hop_windows(start: Column, end: Column, length: float, overlap: float) -> Column:

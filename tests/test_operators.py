@@ -97,14 +97,16 @@ def test_worked_examples():
     assert S.greedy_cuts([], 15, 2, 5) == [] and S.greedy_cuts([1], 15, 2, 0) == []
 
 
-@pytest.mark.parametrize("partitions", [1, 8])
+@pytest.mark.parametrize("partitions", [1, 8, 40])
 def test_greedy_segments_over_partitions(spark, partitions):
     rng = random.Random(partitions)
     rows, wanted = [], set()
-    for key, n in (("hot", 300), ("a", 7), ("b", 1), ("c", 40)):
+    # a third of the rows under one key without a gap, once at even steps, where chains of cuts never merge
+    steps = {"even": [1], "gapless": [0, 1, 2], "ties": [0, 0, 0, 0, 1]}
+    for key, n in (("hot", 300), ("a", 7), ("b", 1), ("c", 40), ("even", 200), ("gapless", 500), ("ties", 200)):
         t, times = 0, []
         for k in range(n):
-            t += rng.choice([0, 1, 1, 1, 2, 4])
+            t += rng.choice(steps.get(key, [0, 1, 1, 1, 2, 4]))
             times.append(t)
             rows.append((key, t, k))
         for i, j in two_pointer(times, 12, 3, 4):
