@@ -53,7 +53,7 @@ def pair_with_previous(described: DataFrame, files: DataFrame, include_missing:
         F.col("file").alias("clip_path"), F.substring_index("file", "/", -1).alias("clip_filename"), "video_id", "clip_number",
         name["start_time"].alias("start_time"), name["end_time"].alias("end_time"), name["duration"].alias("duration"), F.lit(None).cast("string").alias("description"),
     )
-    found = files.select(listed(F.col("video_id")).alias("_v"), F.col("clip_number").alias("_n"), "file")
+    found = files.groupBy(listed(F.col("video_id")).alias("_v"), F.col("clip_number").alias("_n")).agg(F.min("file").alias("file"))  # ids may only differ in underscores
     on = (listed(F.col("video_id")) == F.col("_v")) & (F.col("clip_number") == F.col("_n"))
     joined = current.join(found, on, "left" if include_missing else "inner").join(known, KEY, "left")
     previous = F.when(F.col("file").isNull(), None).otherwise(F.coalesce("known", stub))
@@ -71,10 +71,14 @@ def with_scene(pairs: DataFrame, descriptions: DataFrame) -> DataFrame:
 def unprocessed(tasks: DataFrame, task_key: Column, done: DataFrame, done_key: Column) -> DataFrame:
     """Tasks whose key is not among the done ones; a task without a key is never done. Repeats stay."""
     keys = done.select(done_key.alias("_done")).where("_done is not null").distinct()
-    return tasks.withColumn("_task", task_key).join(keys, F.col("_task") == F.col("_done"), "left_anti").drop("_task")
+    keyed = tasks.withColumn("_task", task_key)
+    left = keyed.where("_task is not null").join(keys, F.col("_task") == F.col("_done"), "left_anti")
+    return left.unionByName(keyed.where("_task is null")).drop("_task")  # rows without a key are in no join
 
 
 def presence(rows: DataFrame, key: Column, listing: DataFrame, listed: Column) -> DataFrame:
     """``rows`` with the column present: whether the key is in the listing."""
     keys = listing.select(listed.alias("_listed")).where("_listed is not null").distinct()
-    return rows.withColumn("_key", key).join(keys, F.col("_key") == F.col("_listed"), "left").withColumn("present", F.col("_listed").isNotNull()).drop("_key", "_listed")
+    keyed = rows.withColumn("_key", key)
+    met = keyed.where("_key is not null").join(keys, F.col("_key") == F.col("_listed"), "left").withColumn("present", F.col("_listed").isNotNull()).drop("_key", "_listed")
+    return met.unionByName(keyed.where("_key is null").withColumn("present", F.lit(False)).drop("_key"))  # rows without a key are in no join

@@ -31,12 +31,14 @@ def stream_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _stream(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
     counts = windowed_counts(events, "ts", "event_type")
 
-    def keep(rows: DataFrame, _: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{base}/out")
+    def keep(rows: DataFrame, batch: int) -> None:
+        rows.withColumn("batch", F.lit(batch)).write.mode("append").parquet(f"{base}/out")
 
-    query = counts.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{base}/check").trigger(availableNow=True).start()
+    # every batch gives the windows that it changed; windows behind the watermark leave the state
+    query = counts.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{base}/check").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.parquet(f"{base}/out").select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "n_events")
+    last = spark.read.parquet(f"{base}/out").groupBy("window_start", "event_type").agg(F.max_by("n_events", "batch").alias("n_events"))
+    return last.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "n_events")
 
 
 def stored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,28 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cliplake.functions.text import strip
+from cliplake.session import write_out
 
 BAD = "_corrupt"
 
 
-def lines(spark: SparkSession, path: str, exact: bool = True) -> DataFrame:
-    """(file, line_no, line) of every line of every file.
+def lines(spark: SparkSession, path: str | list[str], exact: bool = True) -> DataFrame:
+    """(file, line_no, line) of every line of every file; files of any size are split.
 
-    ``exact`` numbers from 1, blank lines included; such files are read whole, one to a row, and must fit a
-    task. Otherwise files of any size are split, and ``line_no`` is a unique number that only sorts as the lines
-    do: a block's place in the file plus the line's place among its task's lines, of which there are fewer than
-    bytes.
+    ``exact`` numbers a file's lines from 1, blank ones included, by the line counts of the blocks before.
+    Otherwise ``line_no`` is a unique number that only sorts as the lines do, for which nothing is counted: a
+    block's place in the file plus the line's place among its task's lines, of which there are fewer than bytes.
     """
+    block, at = F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
+    placed = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), block.alias("block"), at.alias("at"), F.col("value").alias("line"))
     if not exact:
-        place = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-        return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), place.alias("line_no"), F.col("value").alias("line"))
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    split = F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("at", "line")
-    return files.select("file", split).select("file", (F.col("at") + 1).alias("line_no"), "line")
+        return placed.select("file", (F.col("block") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("line_no"), "line")
+    blocks = write_out(placed.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("at").alias("first")))  # one row per block
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = blocks.select("file", "block", (F.coalesce(before, F.lit(0)) - F.col("first") + 1).alias("offset"))
+    return placed.join(offsets, ["file", "block"]).select("file", (F.col("at") + F.col("offset")).alias("line_no"), "line")
 
 
 def parsed(rows: DataFrame, text: str, schema: str) -> DataFrame:
@@ -53,22 +57,37 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = False
     return rows.where(F.col(BAD).isNull()).drop(BAD), rows.where(F.col(BAD).isNotNull()).select("file", "line_no", BAD)
 
 
-def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """(file, line_no, fields): the objects of JSON array files, numbered by element; other elements are skipped."""
+def read_json_array(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+    """(file, line_no, fields): the objects of JSON array files, numbered by element; other elements are skipped.
+
+    An array is one JSON text and cannot be split: each such file must fit a task.
+    """
     files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     elements = F.posexplode(F.from_json("value", "array<variant>")).alias("at", "v")
-    rows = files.select("file", elements).select("file", (F.col("at") + 1).alias("line_no"), F.to_json("v").alias("line"))
+    rows = files.select("file", elements).select("file", (F.col("at") + 1).cast("long").alias("line_no"), F.to_json("v").alias("line"))
     return parsed(rows, "line", schema).where(F.col(BAD).isNull()).drop(BAD)
 
 
 def sniffed(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Objects of ``.json`` array files and of JSON-lines files, also of those named ``.json``."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    array = F.lower("file").endswith(".json") & strip(F.col("value")).startswith("[")
-    elements = F.transform(F.from_json("value", "array<variant>"), lambda v: F.to_json(v))
-    items = F.when(array, elements).otherwise(F.split("value", r"\r?\n"))
-    rows = files.select("file", F.posexplode(items).alias("at", "line")).select("file", (F.col("at") + 1).alias("line_no"), "line")
-    return parsed(rows, "line", schema).where(F.col(BAD).isNull()).drop(BAD)
+    """(file, line_no, fields) of ``.json`` array files and of JSON-lines files, also of those named ``.json``.
+
+    A ``.json`` file is an array if its first character that is no white space is a bracket. Only arrays are
+    read whole; in the others ``line_no`` sorts as the lines do.
+    """
+    names = sorted(unquote(f) for f in spark.read.text(path).inputFiles())
+    odd = [f for f in names if f.lower().endswith(".json")]
+    arrays: list[str] = []
+    if odd:
+        written = lines(spark, odd, exact=False).where(strip(F.col("line")) != "")
+        first = written.groupBy("file").agg(F.min_by(F.left(strip(F.col("line")), F.lit(1)), "line_no").alias("c"))
+        arrays = sorted(unquote(r.file) for r in first.where("c = '['").collect())  # names of files
+    rest = [f for f in names if f not in set(arrays)]
+    found = []
+    if arrays:
+        found.append(read_json_array(spark, arrays, schema))
+    if rest or not arrays:
+        found.append(parsed(lines(spark, rest or path, exact=False), "line", schema).where(F.col(BAD).isNull()).drop(BAD))
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
 def json_type(text: Column, field: str) -> Column:

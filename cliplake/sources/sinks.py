@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cliplake.functions.verdict import denied
+from cliplake.session import write_out
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", one_file: bool = False, keep_nulls: bool = True) -> None:
@@ -55,26 +56,34 @@ def delete_plan(verdicts: DataFrame, listing: DataFrame, base: str = "") -> Data
 
 
 def run_file_actions(plan: DataFrame, action: str, source: str = "path", target: str | None = None, execute: bool = False) -> DataFrame:
-    """(path, status) of deleting or copying the plan's local files; a dry run unless ``execute``."""
+    """(path, status) of deleting or copying the plan's local files; a dry run unless ``execute``.
+
+    Runs once: what is there is written down first, then the outcome, so that reading the result again or a
+    retried task finds nothing to report as missing that an earlier attempt has removed.
+    """
+    names = plan.select(F.col(source).alias("path"), (F.col(target) if target else F.lit(None).cast("string")).alias("target")).where("path is not null")
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(status=["planned" if os.path.exists(p) else "missing" for p in pdf["path"]])
+
+    def apply(path: str, to: str | None) -> str:
+        try:
+            if action == "copy":
+                shutil.copy2(path, f"{to}.part")
+                os.replace(f"{to}.part", to)
+            elif os.path.exists(path):
+                os.remove(path)
+            return "done"
+        except OSError as x:
+            return f"failed: {x.strerror}"
 
     def act(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for k in range(len(pdf)):
-                path = pdf[source].iat[k]
-                try:
-                    if not os.path.exists(path):
-                        out.append("missing")
-                    elif not execute:
-                        out.append("planned")
-                    elif action == "delete":
-                        os.remove(path)
-                        out.append("done")
-                    else:
-                        shutil.copy2(path, pdf[target].iat[k])
-                        out.append("done")
-                except OSError as x:
-                    out.append(f"failed: {x.strerror}")
-            yield pd.DataFrame({"path": pdf[source], "status": out})
-
-    return plan.mapInPandas(act, "path string, status string")
+            done = [apply(p, t) if s == "planned" else s for p, t, s in zip(pdf["path"], pdf["target"], pdf["status"], strict=True)]
+            yield pd.DataFrame({"path": pdf["path"], "status": done})
+
+    if action not in ("copy", "delete"):
+        raise ValueError(f"no file action {action!r}")
+    seen = write_out(names.mapInPandas(look, "path string, target string, status string"))
+    return write_out(seen.mapInPandas(act, "path string, status string")) if execute else seen.select("path", "status")
