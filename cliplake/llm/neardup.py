@@ -2,8 +2,11 @@
 
 A record's fingerprint is a string of MinHash symbols of its character shingles (one-permutation hashing,
 several passes). It is cut into blocks: two fingerprints whose Hamming distance is below the number of
-blocks agree in one block whole, and pairs further apart still do with high probability. Texts are joined
-on blocks, filtered by the Hamming distance of a bit sketch, and verified exactly on their shingle sets.
+blocks agree in one block whole, for certain. Pairs at the threshold of similarity are further apart than
+that; they share a block with high probability only, as in banding (a miss has 0.0067 at 0.7). Texts are
+joined on blocks, filtered by the Hamming distance of a bit sketch, and verified exactly on their shingle
+sets. The exact mode has no such chances: it joins texts on the rarest of their shingles, of which two similar
+texts must share one, and verifies all pairs met.
 Exact copies are one text throughout and are expanded at the end only.
 """
 
@@ -15,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cliplake.llm.chars import code_points, mix, text_slices, window_hashes
@@ -111,6 +114,16 @@ def _verified(shingle: int, threshold: float):
     return run
 
 
+def _shingle_hashes(shingle: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            hashes, owner = window_hashes(*code_points(pdf["text"].tolist()), shingle)
+            own = [np.unique(part).view(np.int64) for part in np.split(hashes, np.searchsorted(owner, np.arange(1, len(pdf))))] if len(pdf) else []
+            yield pd.DataFrame({"srch": pdf["srch"].to_numpy(), "rep": pdf["rec"].to_numpy(), "n": [len(x) for x in own], "hashes": own})
+
+    return run
+
+
 def _close(met: DataFrame) -> DataFrame:
     """Pairs (srch, a, b) of a join of blocks whose sketches are close enough for the blocks that they share."""
     distance = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sketch2")))
@@ -130,10 +143,11 @@ class NearDuplicates:
     Texts are compared within a ``src``, with all white space dropped. Records with a null src, rec or text,
     or with fewer than ``min_chars`` characters then, have no link. Exact copies are linked to each other.
     A repeated (src, rec) with the same text counts once. Empty tables give no rows.
-    The blocks are made for a ``threshold`` of 0.7 or more; a lower one is an error.
+    The blocks are made for a ``threshold`` of 0.7 or more; a lower one is an error, unless ``exact``, which loses
+    no link at any threshold and costs more.
     """
 
-    def __init__(self, records: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD, min_chars: int = MIN_CHARS):
+    def __init__(self, records: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD, min_chars: int = MIN_CHARS, exact: bool = False):
         plain = F.regexp_replace("text", WHITE, "")
         rows = (
             records.select(F.col("src").cast("string").alias("src"), F.col("rec").cast("long").alias("rec"), plain.alias("text"))
@@ -143,7 +157,8 @@ class NearDuplicates:
             "src", F.hash("src").alias("srch"), "rec", "text",
             F.xxhash64(F.lit(1), "text").alias("k1"), F.xxhash64(F.lit(2), "text").alias("k2"),
         )
-        if threshold < THRESHOLD:
+        self._exact = exact
+        if threshold < THRESHOLD and not exact:
             raise ValueError(f"threshold {threshold} is below {THRESHOLD}, for which the blocks and sketches are made")
         self._shingle, self._threshold = shingle, threshold
         fp = self._rows.select("srch", "rec", "k1", "k2", "text").mapInArrow(_fingerprints(shingle), _FP_DDL)
@@ -156,15 +171,35 @@ class NearDuplicates:
     @functools.cached_property
     def links(self) -> DataFrame:
         """All links between different texts, (srch, a, b) by representatives."""
+        if self._exact:
+            return write_out(self._verify(self._sharing_rare_shingles()))
         one = self._blocks()
         two = one.toDF("key2", "srch2", "rep2", "sketch2")
         return write_out(self._verify(_close(one.join(two, (F.col("key") == F.col("key2")) & (F.col("rep") < F.col("rep2"))))))
 
-    def _blocks(self) -> DataFrame:
-        return self.texts.select("srch", "rep", "sketch", F.posexplode("blocks").alias("at", "block")).select(
-            (F.xxhash64("srch", "at").bitwiseXOR(F.col("block").cast("long"))).alias("key"), "srch", "rep", "sketch"
+    def _blocks(self, texts: DataFrame | None = None, *more: str) -> DataFrame:
+        rows = self.texts if texts is None else texts
+        return rows.select("srch", "rep", "sketch", *more, F.posexplode("blocks").alias("at", "block")).select(
+            (F.xxhash64("srch", "at").bitwiseXOR(F.col("block").cast("long"))).alias("key"), "srch", "rep", "sketch", *more
         )
 
+    def _sharing_rare_shingles(self) -> DataFrame:
+        """Pairs (srch, a, b) of texts that share one of the first shingles of both, the rarest coming first.
+
+        Of two sets of n and m shingles that are similar enough, all but the first n - ceil(threshold * n) + 1 of
+        either cannot hold all that they share.
+        """
+        chosen = self._rows.join(self.texts.select("srch", F.col("rep").alias("rec")), ["srch", "rec"]).dropDuplicates(["srch", "rec"])
+        sets = write_out(chosen.select("srch", "rec", "text").mapInPandas(_shingle_hashes(self._shingle), "srch int, rep long, n int, hashes array<long>"))
+        flat = sets.select("srch", "rep", "n", F.explode("hashes").alias("h"))
+        common = flat.groupBy("srch", "h").agg(F.count("*").alias("uses"))
+        rank = F.row_number().over(Window.partitionBy("srch", "rep").orderBy("uses", "h"))  # a text's own shingles
+        first = flat.join(common, ["srch", "h"]).withColumn("rank", rank).where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * self._threshold - 1e-9) + 1)
+        one = write_out(first.select("srch", "h", "rep", "n"))
+        two = one.toDF("srch", "h", "rep2", "n2")
+        near = (F.col("rep") < F.col("rep2")) & (F.col("n") >= self._threshold * F.col("n2") - 1e-9) & (F.col("n2") >= self._threshold * F.col("n") - 1e-9)
+        return one.join(two, ["srch", "h"]).where(near).select("srch", F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
+
     def _verify(self, candidates: DataFrame) -> DataFrame:
         """The candidate pairs (srch, a, b) of representatives whose texts are similar enough."""
         found = write_out(candidates)
@@ -197,43 +232,51 @@ class NearDuplicates:
         out = links.join(ma, ["srch", "a"]).join(mb, ["srch", "b"]).where("a <> b or ra < rb")
         return out.select("src", F.least("ra", "rb").alias("rec_a"), F.greatest("ra", "rb").alias("rec_b")).where("rec_a < rec_b").distinct()
 
-    def group_links(self) -> DataFrame:
-        """Links (srch, a, b) that connect the same texts as all links do, without all pairs of a block.
+    def labels(self) -> DataFrame:
+        """(srch, rep, label, linked): the component of each text, found without all pairs of a block.
 
         Every text is held against the first of each of its blocks; only blocks in which texts of different
-        components are left are then joined, across components. A large group whose texts resemble their first
-        costs as many pairs as it has texts and blocks.
+        components are left are then joined, across components, whose labels are joined in turn. A large group
+        whose texts resemble their first costs as many pairs as it has texts and blocks. Not for the exact mode.
         """
         one = self._blocks()
         head = one.groupBy("key").agg(F.min(F.struct("rep", "srch", "sketch")).alias("h"))
         heads = head.select(F.col("key").alias("key2"), F.col("h.srch").alias("srch2"), F.col("h.rep").alias("rep2"), F.col("h.sketch").alias("sketch2"))
-        star = write_out(self._verify(_close(one.join(heads, (F.col("key") == F.col("key2")) & (F.col("rep") != F.col("rep2"))))))
-        found = components(star.select(_node("a").alias("a"), _node("b").alias("b")))
-        known = self.texts.select("srch", "rep", _node("rep").alias("node")).join(found, "node", "left")
-        labelled = write_out(known.select("srch", "rep", F.xxhash64(F.coalesce("component", "node")).alias("comp")))
-        rows = one.join(labelled, ["srch", "rep"])
+        star = self._verify(_close(one.join(heads, (F.col("key") == F.col("key2")) & (F.col("rep") != F.col("rep2")))))
+        labelled = write_out(self._labelled(star))
+        # labelled by text, before the blocks are unfolded
+        rows = self._blocks(self.texts.join(labelled.select("srch", "rep", F.xxhash64("label").alias("comp")), ["srch", "rep"]), "comp")
         mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-        left = rows.join(mixed, "key").select("key", "srch", "rep", "sketch", "comp")
+        left = write_out(rows.join(mixed, "key").select("key", "srch", "rep", "sketch", "comp"))
         right = left.toDF("key2", "srch2", "rep2", "sketch2", "comp2")
-        across = left.join(right, (F.col("key") == F.col("key2")) & (F.col("rep") < F.col("rep2")) & (F.col("comp") != F.col("comp2")))
-        return write_out(star.union(self._verify(_close(across))))
+        across = self._verify(_close(left.join(right, (F.col("key") == F.col("key2")) & (F.col("rep") < F.col("rep2")) & (F.col("comp") != F.col("comp2")))))
+        named = labelled.select("srch", "rep", "label")
+        ends = across.join(named.toDF("srch", "a", "la"), ["srch", "a"]).join(named.toDF("srch", "b", "lb"), ["srch", "b"])
+        roots = components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b"))).toDF("label", "root")
+        return labelled.join(roots, "label", "left").select("srch", "rep", F.coalesce("root", "label").alias("label"), (F.col("linked") | F.col("root").isNotNull()).alias("linked"))
+
+    def _labelled(self, links: DataFrame) -> DataFrame:
+        """(srch, rep, label, linked) of all texts by the components of links; a text without one is its own."""
+        found = components(links.select(_node("a").alias("a"), _node("b").alias("b")))
+        known = self.texts.select("srch", "rep", _node("rep").alias("node")).join(found, "node", "left")
+        return known.select("srch", "rep", F.coalesce("component", "node").alias("label"), F.col("component").isNotNull().alias("linked"))
 
-    def _grouped(self, links: DataFrame) -> DataFrame:
+    def _grouped(self, labels: DataFrame) -> DataFrame:
         """(src, srch, rec, rep, copies, group_id) of every record of a link or of a text with copies."""
         members = self._members().select("src", "srch", "rep", "rec").distinct()
         copies = members.groupBy("srch", "rep").agg(F.count("*").alias("copies"))
-        found = components(links.select(_node("a").alias("a"), _node("b").alias("b")))
-        rows = members.join(copies, ["srch", "rep"]).withColumn("node", _node("rep")).join(found, "node", "left")
-        group = F.split(F.coalesce("component", "node"), ":")[1].cast("long").alias("group_id")
-        return rows.where("copies > 1 or component is not null").select("src", "srch", "rec", "rep", "copies", group)
+        rows = members.join(copies, ["srch", "rep"]).join(labels, ["srch", "rep"])
+        group = F.split("label", ":")[1].cast("long").alias("group_id")
+        return rows.where("copies > 1 or linked").select("src", "srch", "rec", "rep", "copies", group)
 
     def groups(self) -> DataFrame:
         """One row per linked record: (src, rec, group_id); group_id is the group's smallest rec."""
-        return self._grouped(self.group_links()).select("src", "rec", "group_id")
+        labels = self._labelled(self.links) if self._exact else self.labels()
+        return self._grouped(labels).select("src", "rec", "group_id")
 
     def link_counts(self) -> DataFrame:
         """As :meth:`groups`, with n_links: the number of records, copies included, that a record is linked to."""
-        rows = write_out(self._grouped(self.links))
+        rows = write_out(self._grouped(self._labelled(self.links)))
         copies = rows.select("srch", F.col("rep").alias("b"), "copies").distinct()
         both = self.links.union(self.links.select("srch", F.col("b").alias("a"), F.col("a").alias("b")))
         beside = both.join(copies, ["srch", "b"]).groupBy("srch", F.col("a").alias("rep")).agg(F.sum("copies").alias("beside"))

@@ -77,9 +77,30 @@ def test_dense_group_of_different_texts(spark):
     base = " ".join(rng.choice(WORDS) for _ in range(80))
     rows = [("clip", k, base + f" {k:04d}", 0, 0) for k in range(400)] + [("clip", 1000 + k, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400)), 0, 0) for k in range(50)]
     found = NearDuplicates(spark.createDataFrame(rows, DDL))
+    met, verify = [], found._verify
+
+    def spy(candidates):
+        rows = candidates.cache()
+        met.append(rows.count())
+        return verify(rows)
+
+    found._verify = spy
     groups = {r.rec: r.group_id for r in found.groups().collect()}
     assert groups == {k: 0 for k in range(400)}
-    assert found.group_links().count() < 400 * 10
+    assert sum(met) < 400 * 40  # texts times blocks, of 80,000 pairs
+
+
+@pytest.mark.parametrize("threshold", [0.7, 0.5])
+def test_the_exact_mode_loses_no_link(spark, threshold):
+    rows = collection(3)
+    rng = random.Random(4)
+    for k in range(25):
+        base = " ".join(rng.choice(WORDS) for _ in range(12))
+        rows += [("pair", 8000 + 10 * k + j, edited(rng, base, 0.04 * j)) for j in range(6)]
+    found = NearDuplicates(spark.createDataFrame([(*r, 1, 2) for r in rows], DDL), threshold=threshold, exact=True)
+    wanted = pairs(rows, threshold)
+    assert {tuple(r) for r in found.pairs().collect()} == wanted and wanted > pairs(rows, 0.8)
+    assert {(r.src, r.rec) for r in found.groups().collect()} == {(s, x) for s, a, b in wanted for x in (a, b)}
 
 
 def test_empty_table(spark):
@@ -143,3 +164,4 @@ def test_sentence_share_and_votes():
 def test_threshold_below_what_the_blocks_are_made_for(spark):
     with pytest.raises(ValueError):
         NearDuplicates(spark.createDataFrame([], DDL), threshold=0.5)
+    assert NearDuplicates(spark.createDataFrame([], DDL), threshold=0.5, exact=True).pairs().count() == 0
