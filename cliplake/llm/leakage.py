@@ -26,7 +26,7 @@ CONTAINMENT = 0.4
 SKETCH = 96
 #: An item's expected sketch hits at the threshold are 0.4 * 96 = 38 (standard deviation 4.8).
 LEAST_HITS = 0.15
-#: Items are looked up in every task: the sketches of at most this many are shipped to the executors.
+#: Items up to which their sketches go to every task; those of more are joined.
 MAX_ITEMS = 20_000
 SLOTS = 1 << 22  # size of the candidate filter, fixed whatever the data
 
@@ -108,69 +108,117 @@ def _meet(hashes: np.ndarray, owner: np.ndarray, part: Partition) -> tuple[np.nd
     return doc[enough], item[enough]
 
 
+def _word_bits(slots: DataFrame) -> np.ndarray:
+    """A bitmap of SLOTS bits with those of the column slot set; at most SLOTS / 64 rows come to the driver."""
+    words = slots.groupBy(F.shiftright("slot", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 64 AS INT))) AS bits"))
+    bitmap = np.zeros(SLOTS // 64, np.uint64)
+    for r in words.collect():
+        bitmap[r.w] = np.uint64(r.bits & 0xFFFFFFFFFFFFFFFF)
+    return bitmap
+
+
+def _in_bitmap(bitmap: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bitmap[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) > 0
+
+
+def _search_shipped(docs: DataFrame, rows: list[tuple[int, str]], shingle: int) -> DataFrame:
+    """Candidates (doc_id, item) by sketches that go to every task; ``item`` is the row's number."""
+    shared = docs.sparkSession.sparkContext.broadcast(build_partitions(rows, shingle))  # bounded by max_items
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            texts = whole.column("text").to_pylist()
+            for at, stop in text_slices(texts, 1_000):
+                ids = whole.column("doc_id").slice(at, stop - at).to_numpy(zero_copy_only=False).astype(np.int64)
+                hashes, owner = window_hashes(*_batch(texts[at:stop]), shingle)
+                for part in shared.value:
+                    d, k = _meet(hashes, owner, part)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[d]), pa.array(k.astype(np.int64))], names=["doc_id", "item"])
+
+    return docs.mapInArrow(search, "doc_id long, item long").distinct()
+
+
+def _search_joined(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """Candidates (doc_id, item) by a join of the documents' MinHash values with the sketches of any number of items."""
+    flip = np.uint64(1 << 63)  # so that signed values sort as the hashes do
+
+    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            own = [np.unique(window_hashes(*code_points([normalise(t)]), shingle)[0])[:SKETCH] for t in pdf["t"]]
+            least = [max(1, int(LEAST_HITS * len(h))) for h in own]
+            out = pd.DataFrame({"item": pdf["item"].to_numpy(), "least": least, "h": [(h ^ flip).view(np.int64) for h in own]})
+            yield out[out["h"].map(len) > 0]
+
+    sketches = write_out(wanted.mapInPandas(sketch, "item long, least int, h array<long>").select("item", "least", F.explode("h").alias("h")))
+    top = sketches.agg(F.max("h")).first()[0]
+    if top is None:
+        return docs.sparkSession.createDataFrame([], "doc_id long, item long")
+    shared = docs.sparkSession.sparkContext.broadcast(_word_bits(sketches.select(F.pmod("h", F.lit(SLOTS)).alias("slot"))))  # SLOTS bits
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            texts = whole.column("text").to_pylist()
+            for at, stop in text_slices(texts, 1_000):
+                ids = whole.column("doc_id").slice(at, stop - at).to_numpy(zero_copy_only=False).astype(np.int64)
+                hashes, owner = window_hashes(*_batch(texts[at:stop]), shingle)
+                signed = (hashes ^ flip).view(np.int64)
+                kept = (signed <= top) & _in_bitmap(shared.value, signed & (SLOTS - 1))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[owner[kept]]), pa.array(signed[kept])], names=["doc_id", "h"])
+
+    met = docs.mapInArrow(values, "doc_id long, h long").distinct().join(sketches, "h")
+    return met.groupBy("doc_id", "item").agg(F.count("*").alias("hits"), F.first("least").alias("least")).where("hits >= least").select("doc_id", "item")
+
+
 def leaked_passages(
-    documents: DataFrame, doc: str, text: str, items: DataFrame, item: str, item_text: str, containment: float = CONTAINMENT, shingle: int = SHINGLE
+    documents: DataFrame, doc: str, text: str, items: DataFrame, item: str, item_text: str, containment: float = CONTAINMENT, shingle: int = SHINGLE, max_items: int = MAX_ITEMS
 ) -> DataFrame:
     """(doc_id, item_id, contained) of documents that hold at least ``containment`` of an item's shingles.
 
     Shingles are the distinct substrings of ``shingle`` characters of the normalised text. Null or too short
     texts and items match nothing; null ids are left out; repeated rows give one row per id. Empty tables
-    give no rows. The items are a bounded table of at most MAX_ITEMS rows (more raise an error).
+    give no rows. Up to ``max_items`` items go to every task; more are joined by their sketches' values, with
+    the same result.
 
     The candidate step is made for a containment of 0.4 or more; a lower one is an error.
     """
     if containment < CONTAINMENT:
         raise ValueError(f"containment {containment} is below {CONTAINMENT}, for which the sketches are made")
     spark = documents.sparkSession
-    wanted = items.select(F.col(item).cast("long").alias("i"), F.col(item_text).cast("string").alias("t")).where("i is not null and t is not null")
-    rows = sorted((r.i, r.t) for r in wanted.distinct().limit(MAX_ITEMS + 1).collect())
-    if len(rows) > MAX_ITEMS:
-        raise ValueError(f"over {MAX_ITEMS} test items, the documented bound of this operator")
-    rows = [(i, t) for i, t in rows if len(normalise(t)) >= shingle]
+    wanted = items.select(F.col(item).cast("long").alias("i"), F.col(item_text).cast("string").alias("t")).where("i is not null and t is not null").distinct()
+    rows = sorted((r.i, r.t) for r in wanted.limit(max_items + 1).collect())
     docs = documents.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id is not null and text is not null")
-    numbers = np.array([i for i, _ in rows], np.int64)
-    shared = spark.sparkContext.broadcast((rows, build_partitions(rows, shingle)))  # bounded by MAX_ITEMS
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = shared.value[1]
-        for whole in batches:
-            texts = whole.column("text").to_pylist()
-            for at, stop in text_slices(texts, 1_000):
-                ids = whole.column("doc_id").slice(at, stop - at).to_numpy(zero_copy_only=False).astype(np.int64)
-                hashes, owner = window_hashes(*_batch(texts[at:stop]), shingle)
-                for part in parts:
-                    d, k = _meet(hashes, owner, part)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[d]), pa.array(numbers[k])], names=["doc_id", "item_id"])
-
-    if not rows:
-        return documents.sparkSession.createDataFrame([], "doc_id long, item_id long, contained double")
-    candidates = write_out(docs.mapInArrow(search, "doc_id long, item_id long").distinct())
+    if len(rows) <= max_items:
+        rows = [(i, t) for i, t in rows if len(normalise(t)) >= shingle]
+        if not rows:
+            return spark.createDataFrame([], "doc_id long, item_id long, contained double")
+        numbered = spark.createDataFrame([(k, i, t) for k, (i, t) in enumerate(rows)], "item long, i long, t string")
+        candidates = write_out(_search_shipped(docs, rows, shingle))
+    else:
+        numbered = write_out(wanted.select(F.xxhash64("i", "t").alias("item"), "i", "t"))
+        candidates = write_out(_search_joined(docs, numbered.select("item", "t"), shingle))
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
-    words = candidates.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 64 AS INT))) AS bits"))
-    bitmap = np.zeros(SLOTS // 64, np.uint64)
-    for r in words.collect():  # at most SLOTS / 64 rows
-        bitmap[r.w] = np.uint64(r.bits & 0xFFFFFFFFFFFFFFFF)
+    bitmap = _word_bits(candidates.select(slot.alias("slot")))
 
     @F.pandas_udf("boolean")
     def possible(s: pd.Series) -> pd.Series:
-        at = s.to_numpy(np.int64)
-        return pd.Series((bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0)
+        return pd.Series(_in_bitmap(bitmap, s.to_numpy(np.int64)))
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = {}
-        for i, t in shared.value[0]:
-            n = normalise(t)
-            known.setdefault(i, []).append({n[k : k + shingle] for k in range(len(n) - shingle + 1)})
         for pdf in batches:
             shares = []
+            known: dict[str, set[str]] = {}
             last, plain = None, ""
-            for t, i in zip(pdf["text"], pdf["item_id"], strict=True):
+            for t, held in zip(pdf["text"], pdf["t"], strict=True):
                 if t is not last:
                     last, plain = t, normalise(t)
-                shares.append(max(sum(s in plain for s in grams) / len(grams) for grams in known[i]))
+                if held not in known:
+                    n = normalise(held)
+                    known[held] = {n[k : k + shingle] for k in range(len(n) - shingle + 1)}
+                grams = known[held]
+                shares.append(sum(s in plain for s in grams) / len(grams))
             out = pdf[["doc_id", "item_id"]].assign(contained=shares)
             yield out[out["contained"] >= containment - 1e-12]
 
     texts = docs.withColumn("slot", slot).where(possible("slot")).select("doc_id", "text")
-    both = texts.join(candidates, "doc_id").mapInPandas(verify, "doc_id long, item_id long, contained double")
-    return both.groupBy("doc_id", "item_id").agg(F.max("contained").alias("contained"))
+    both = texts.join(candidates, "doc_id").join(numbered, "item").select("doc_id", "text", F.col("i").alias("item_id"), "t")
+    return both.mapInPandas(verify, "doc_id long, item_id long, contained double").groupBy("doc_id", "item_id").agg(F.max("contained").alias("contained"))
