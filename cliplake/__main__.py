@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 
 from cliplake.functions.records import RecordOptions
@@ -49,6 +50,32 @@ def parser() -> argparse.ArgumentParser:
     j.add_argument("inputs", nargs="+")
     j.add_argument("--shuffle", action="store_true")
     j.add_argument("--seed", type=int, default=42)
+    def backends(made: argparse.ArgumentParser, frames: bool = True) -> None:
+        made.add_argument("--model", required=True, help="MODULE:NAME of a backend class or factory")
+        if frames:
+            made.add_argument("--frames", default="cliplake.operators.inference:OpenCvFrames", help="MODULE:NAME of a frame reader")
+
+    e = command("describe", "clip_dir", "output")
+    e.add_argument("--max_clips", type=int, default=0)
+    e.add_argument("--no_resume", action="store_true")
+    backends(e)
+    f = command("filter", "video_dir", "output")
+    f.add_argument("--max_videos", type=int, default=0)
+    f.add_argument("--legacy", action="store_true")
+    backends(f)
+    g = command("generate-qa", "input", "output")
+    g.add_argument("--questions", type=int, default=4)
+    g.add_argument("--no_resume", action="store_true")
+    backends(g, frames=False)
+    k = command("cut", "video_dir", "output")
+    k.add_argument("--min_duration", type=float, default=6.0)
+    k.add_argument("--max_duration", type=float, default=15.0)
+    k.add_argument("--seed", type=int, default=42)
+    k.add_argument("--style", choices=["fast", "exact", "encode"], default="fast")
+    n = command("rename", "folder", "output")
+    n.add_argument("--execute", action="store_true")
+    records(command("legacy", "input", "output"))
+    command("array-to-jsonl", "input", "output")
     command("audit", "input")
     command("count", "folder")
     d = command("delete", "verdicts", "folder")
@@ -62,6 +89,12 @@ def options(a: argparse.Namespace) -> RecordOptions:
     )
 
 
+def named(path: str):
+    """The object of MODULE:NAME."""
+    module, _, name = path.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
 def main(argv: list[str] | None = None) -> dict:
     a = parser().parse_args(argv)
     spark = get_session()
@@ -78,6 +111,20 @@ def main(argv: list[str] | None = None) -> dict:
         said = P.merge_to_training(spark, a.pairs, a.descriptions, a.output, a.skip_no_description, options(a))
     elif a.command == "merge-train":
         said = P.merge_training_files(spark, a.inputs, a.output, a.shuffle, a.seed)
+    elif a.command == "describe":
+        said = P.describe(spark, a.clip_dir, a.output, named(a.model), named(a.frames), not a.no_resume, a.max_clips)
+    elif a.command == "filter":
+        said = P.judge(spark, a.video_dir, a.output, named(a.model), named(a.frames), not a.legacy, a.max_videos)
+    elif a.command == "generate-qa":
+        said = P.ask(spark, a.input, a.output, named(a.model), a.questions, not a.no_resume)
+    elif a.command == "cut":
+        said = P.cut(spark, a.video_dir, a.output, a.min_duration, a.max_duration, a.seed, a.style)
+    elif a.command == "rename":
+        said = P.rename(spark, a.folder, a.output, a.execute)
+    elif a.command == "legacy":
+        said = P.legacy_to_training(spark, a.input, a.output, options(a))
+    elif a.command == "array-to-jsonl":
+        said = P.array_to_lines(spark, a.input, a.output)
     elif a.command == "audit":
         said = {"bad": [[r.line_no, r.kind] for r in P.audit_videos(spark, a.input).collect()]}
     elif a.command == "count":

@@ -10,6 +10,7 @@ from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 class TextBackend(Protocol):
@@ -72,23 +73,42 @@ def probe_media(files: DataFrame, path: str = "path", timeout: float = 10.0) ->
     return files.selectExpr(f"`{path}` as path").where("path is not null").mapInPandas(run, "path string, duration double, valid boolean, error string")
 
 
-def cut_commands(source: str, target: str, start: float, end: float) -> list[list[str]]:
-    """The commands to cut a clip: a stream copy first, a re-encoding if that fails."""
-    seek = ["ffmpeg", "-y", "-ss", f"{start:.2f}", "-i", source, "-t", f"{end - start:.2f}"]
-    return [[*seek, "-c", "copy", target], [*seek, "-c:v", "libx264", "-preset", "ultrafast", "-crf", "28", "-c:a", "aac", target]]
+def cut_commands(source: str, target: str, start: float, end: float, style: str = "fast") -> list[list[str]]:
+    """The commands to cut a clip, each tried if the one before fails.
 
-
-def cut_clips(plan: DataFrame, timeouts: tuple[float, float] = (300.0, 600.0)) -> DataFrame:
-    """(target, status) of cutting (source, target, start, end) rows; an existing target is left as it is."""
+    "fast" seeks before the input, copies, then encodes quickly; "exact" seeks behind it, copies, then encodes;
+    "encode" only encodes, on one thread.
+    """
+    span = ["-t", f"{end - start:.2f}"]
+    seek = ["ffmpeg", "-y", "-ss", f"{start:.2f}", "-i", source, *span]
+    behind = ["ffmpeg", "-y", "-i", source, "-ss", f"{start:.2f}", *span]
+    encode = lambda preset, crf, audio: ["-c:v", "libx264", "-preset", preset, "-crf", crf, "-c:a", "aac", "-b:a", audio]
+    if style == "fast":
+        return [[*seek, "-c", "copy", target], [*seek, *encode("ultrafast", "28", "96k"), target]]
+    if style == "exact":
+        return [[*behind, "-c", "copy", target], [*behind, *encode("veryfast", "23", "128k"), target]]
+    if style == "encode":
+        return [[*seek, *encode("veryfast", "23", "128k"), "-threads", "1", target]]
+    raise ValueError(f"no style {style!r}")
+
+
+def cut_clips(plan: DataFrame, timeouts: tuple[float, float] = (300.0, 600.0), style: str = "fast") -> DataFrame:
+    """(source, target, status) of cutting (source, target, start, end) rows; an existing target is left as it is.
+
+    A clip is written under another name first, so that a broken-off attempt leaves no target behind.
+    """
 
     def cut(source: str, target: str, start: float, end: float) -> str:
         if os.path.exists(target):
             return "exists"
         if shutil.which("ffmpeg") is None:
             return "failed: ffmpeg is not installed"
-        for command, seconds in zip(cut_commands(source, target, start, end), timeouts, strict=True):
+        base, ext = os.path.splitext(target)
+        part = f"{base}.part{ext}"
+        for command, seconds in zip(cut_commands(source, part, start, end, style), timeouts, strict=False):
             try:
-                if subprocess.run(command, capture_output=True, timeout=seconds, check=False).returncode == 0 and os.path.getsize(target):
+                if subprocess.run(command, capture_output=True, timeout=seconds, check=False).returncode == 0 and os.path.getsize(part):
+                    os.replace(part, target)
                     return "copied" if "copy" in command else "encoded"
             except (subprocess.TimeoutExpired, OSError):
                 continue
@@ -97,6 +117,22 @@ def cut_clips(plan: DataFrame, timeouts: tuple[float, float] = (300.0, 600.0)) -
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             done = [cut(*row) for row in zip(pdf["source"], pdf["target"], pdf["start"], pdf["end"], strict=True)]
-            yield pd.DataFrame({"target": pdf["target"], "status": done})
+            yield pd.DataFrame({"source": pdf["source"], "target": pdf["target"], "status": done})
+
+    return plan.select("source", "target", "start", "end").mapInPandas(run, "source string, target string, status string")
 
-    return plan.select("source", "target", "start", "end").mapInPandas(run, "target string, status string")
+
+def cut_summary(videos: DataFrame, cuts: DataFrame) -> DataFrame:
+    """One row (videos_processed, videos_failed, videos_cut, clips_created, clips_failed).
+
+    ``videos`` are probed (path, error) rows, of which those with an error have failed; ``cuts`` are (source,
+    status) rows. A clip that was there already counts as created; a video is cut if one of its clips is.
+    """
+    made = F.col("status").isin("exists", "copied", "encoded")
+    names = ("videos_processed", "videos_failed", "videos_cut", "clips_created", "clips_failed")
+    row = lambda *parts: [F.coalesce(c, F.lit(0)).cast("long").alias(n) for c, n in zip(parts, names, strict=True)]
+    none = F.lit(0)
+    by = cuts.groupBy("source").agg(F.count_if(made).alias("made"), F.count_if(~made).alias("lost"))
+    clips = by.select(*row(none, none, (F.col("made") > 0).cast("long"), F.col("made"), F.col("lost")))
+    seen = videos.select(*row(F.col("error").isNull().cast("long"), F.col("error").isNotNull().cast("long"), none, none, none))
+    return seen.unionByName(clips).agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names))

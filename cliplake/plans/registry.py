@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cliplake.plans import clip_queries, core_queries, stream_queries, table_queries
+from cliplake.plans import clip_queries, core_queries, model_queries, stream_queries, table_queries
 
-_MODULES = (core_queries, clip_queries, table_queries, stream_queries)
+_MODULES = (core_queries, clip_queries, table_queries, model_queries, stream_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
