@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,7 +79,7 @@ def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 def _measure(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, table = load_tokenizer(tokenizer), projection()
+        encoder, table = load_tokenizer(SparkFiles.get(tokenizer)), projection()
         for whole in batches:
             texts = whole.column("text").to_pylist()
             for at, stop in text_slices(texts):
@@ -162,7 +163,8 @@ def pack_documents(documents: DataFrame, doc: str, text: str, capacity: int = CA
     spark = documents.sparkSession
     rows = documents.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("text is not null")
     names = [f"x{k}" for k in range(DIMENSIONS)]
-    measured = write_out(rows.mapInArrow(_measure(tokenizer), "doc_id long, n_tokens long, " + ", ".join(f"{x} double" for x in names)))
+    spark.sparkContext.addFile(tokenizer)  # the driver serves the rank file: the executors need no copy of their own
+    measured = write_out(rows.mapInArrow(_measure(os.path.basename(tokenizer)), "doc_id long, n_tokens long, " + ", ".join(f"{x} double" for x in names)))
     spread = measured.agg(*(F.avg(x).alias(f"m_{x}") for x in names), *(F.stddev_pop(x).alias(f"s_{x}") for x in names)).first()
     centre = [spread[f"m_{x}"] or 0.0 for x in names]
     width = [max(spread[f"s_{x}"] or 0.0, 1e-9) for x in names]
