@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -39,7 +40,8 @@ def ship_package(spark: SparkSession) -> None:
     if context.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    folder = tempfile.mkdtemp(prefix="cliplake-")
+    folder = tempfile.mkdtemp(prefix="cliplake-")  # on the driver only
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     archive = os.path.join(folder, "cliplake_package.zip")
     with zipfile.ZipFile(archive, "w") as out:
         for base, _, names in os.walk(root):
