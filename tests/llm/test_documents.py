@@ -37,14 +37,14 @@ def test_windows_and_distinct_counts():
 
 def leaks(rows, items):
     out = {}
+    plain = [(d, K.normalise(text)) for d, text, _ in rows if text is not None and d is not None]
     for i, t in items:
         n = K.normalise(t)
         grams = {n[k : k + 10] for k in range(len(n) - 9)}
-        for d, text, _ in rows:
-            if grams and text is not None and d is not None and i is not None:
-                share = sum(g in K.normalise(text) for g in grams) / len(grams)
-                if share >= 0.4:
-                    out[d, i] = max(share, out.get((d, i), 0))
+        for d, text in plain if grams and i is not None else []:
+            share = sum(g in text for g in grams) / len(grams)
+            if share >= 0.4:
+                out[d, i] = max(share, out.get((d, i), 0))
     return out
 
 
