@@ -259,5 +259,47 @@ def test_short_cut_answers_whose_full_form_is_in_no_sample(spark):
     assert by[2000] is None and by[2001] is None
 
 
+def test_names_and_beginnings_count_over_all_answers(spark):
+    rng = random.Random(12)
+    filler = [(k, "它起到了什么作用？", f"第{k}回合，这波闪光弹落点略偏，只封住了{rng.choice(PLACES)}的一半视野。") for k in range(4500)]
+    names = ["".join(rng.choice("abcdefghij") for _ in range(15)).capitalize() for _ in range(30)]
+    used = [(5000 + 3 * k + j, "谁在防守？", f"{p}由{n}架枪，队友负责补枪。") for k, n in enumerate(names) for j, p in enumerate(PLACES[:3])]
+    english = [(6000 + k, "What is it?", f"{rng.choice(NAMES)} throws a smoke at the upper garage.") for k in range(40)]
+    asked = [(7000 + k, "谁在防守？", n) for k, n in enumerate(names)] + [(8000, "谁在防守？", "Onceonlynamed")]
+    asked += [(8001, "What is it?", "Yolchtdex throws"), (8002, "What is it?", "Mexgrutus6 throws a"), (8003, "What is it?", "The upper garage"), (8004, "谁在防守？", "SG 553 AWP")]
+    used += [(9000 + k, "谁在防守？", f"{w}在{p}。") for k, (w, p) in enumerate((w, p) for w in ("SG 553", "AWP", "The") for p in PLACES[:3])]
+    df = spark.createDataFrame([(*r, "old", 5) for r in filler + used + english + asked], PAIRS)
+    by = {r.rec: r.defect for r in Q.qa_defects(df, "qa_id", "question", "answer").collect()}
+    assert [by[7000 + k] for k in range(30)] == [None] * 30
+    assert [by[k] for k in range(8000, 8005)] == ["truncated", "truncated", "truncated", None, None]
+
+
+@pytest.mark.parametrize(
+    ("text", "has", "has_not"),
+    [
+        ("Bo meets SG 553 at the upper garage.", ["wSG", "bbo meets", "bbo meets SG", "eupper garage", "ethe upper garage", "hBo N"], ["eat the", "bmeets SG"]),
+        ("手持SG 553 守点，他说go on。", ["esG 553", "ego on", "w553"], ["bsG 553"]),
+        ("He is on the player's side.", ["bhe is", "bhe is on"], ["ethe player", "eon the player"]),
+        ("Go now.", ["ego now"], ["bgo now"]),
+    ],
+)
+def test_keys_of_an_answer(text, has, has_not):
+    keys = Q._keys(text)
+    assert set(has) <= keys and not keys & set(has_not)
+
+
+def test_end_model_learns_from_every_answer(spark, monkeypatch):
+    monkeypatch.setattr(Q, "SHARD_ROWS", 40)
+    rng = random.Random(13)
+    answers = sorted({text(rng, 2) for _ in range(500)})
+    df = spark.createDataFrame([(t,) for t in answers], "answer string")
+    weights = Q.fit_all(df.repartition(1))
+    assert (weights == Q.fit_all(df.repartition(7))).all()
+    assert all((weights[R.features(t, near)] != 0).all() for a in answers for t, near, _ in Q.cut_answers(a))
+    held = [x for _ in range(200) for x in Q.cut_answers(text(rng, 2))]
+    assert sum((R.probability(weights, t, near) >= 0.5) == (y == 1) for t, near, y in held) / len(held) > 0.99
+    assert not Q.fit_all(df.where("false")).any()
+
+
 def test_delimiters():
     assert Q.open_delimiters("（a") == 1 and Q.open_delimiters("（a）") == 0 and Q.open_delimiters("“a（b”") == 2
